@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from folioweave.operators import nested
+from folioweave.functions import ids
+from folioweave.operators import hierarchy, nested, orphans
 from folioweave.session import table
 
 
@@ -16,12 +18,138 @@ def _p1_level(level: str):
     return lambda spark, sf_dir: nested.flatten_level(table(spark, sf_dir, "extractions"), level)
 
 
+def _endpoints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row per endpoint of a relation with its canonical key; blank endpoints are left out."""
+    rel = table(spark, sf_dir, "relations").select("relation_no", "paper_id", "source_id", "target_id", "recorded_at")
+    ends = rel.select(
+        "relation_no",
+        "paper_id",
+        "recorded_at",
+        F.explode(F.create_map(F.lit("source"), "source_id", F.lit("target"), "target_id")).alias("endpoint", "id"),
+    )
+    return ends.where(~ids.is_blank(F.col("id"))).select(
+        F.col("relation_no").alias("ref_id"),
+        F.col("endpoint").alias("which"),
+        F.struct("paper_id", ids.canonical(F.col("id")).alias("unit_id")).alias("key"),
+        F.col("recorded_at").alias("at"),
+    )
+
+
+def _p4_orphans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    units = table(spark, sf_dir, "graph_units")
+    changes = units.select(
+        F.struct("paper_id", ids.canonical(F.col("unit_id")).alias("unit_id")).alias("key"),
+        F.col("changed_at").alias("at"),
+        (F.col("op") != "delete").alias("up"),
+    )
+    return orphans.orphan_references(_endpoints(spark, sf_dir), changes)
+
+
+def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = _p4_orphans(spark, sf_dir)
+    return found.select(F.col("ref_id").alias("relation_no"), F.col("which").alias("endpoint")).dropDuplicates()
+
+
+def p4_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orphan endpoints and all endpoints per table, endpoint and month of recorded_at."""
+    month = F.date_format(F.col("at"), "yyyy-MM").alias("month")
+    every = _endpoints(spark, sf_dir).dropDuplicates(["ref_id", "which"]).groupBy("which", month).agg(F.count(F.lit(1)).alias("n_endpoints"))
+    lost = _p4_orphans(spark, sf_dir).dropDuplicates(["ref_id", "which"]).groupBy("which", month).agg(F.count(F.lit(1)).alias("n_orphans"))
+    return every.join(lost, ["which", "month"], "left").select(
+        F.lit("relations").alias("table_name"),
+        F.col("which").alias("endpoint"),
+        "month",
+        "n_endpoints",
+        F.coalesce("n_orphans", F.lit(0).cast("bigint")).alias("n_orphans"),
+    )
+
+
+def _part_of(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rel = table(spark, sf_dir, "relations").where(F.col("relation") == "part_of")
+    return rel.where(~ids.is_blank(F.col("source_id")) & ~ids.is_blank(F.col("target_id"))).select(
+        F.col("paper_id").alias("group_id"),
+        ids.canonical(F.col("source_id")).alias("child"),
+        ids.canonical(F.col("target_id")).alias("parent"),
+    )
+
+
+def p5_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hierarchy.hierarchy(_part_of(spark, sf_dir)).select(
+        F.col("group_id").alias("paper_id"), F.col("node").alias("unit_id"), F.col("root").alias("root_id"), "depth"
+    )
+
+
+def p5_paths(spark: SparkSession, sf_dir: str) -> DataFrame:
+    h = hierarchy.hierarchy(_part_of(spark, sf_dir))
+    return h.select(
+        F.col("group_id").alias("paper_id"),
+        F.col("node").alias("unit_id"),
+        F.col("parent").alias("parent_id"),
+        F.col("root").alias("root_id"),
+        "depth",
+        F.array_join("path", " / ").alias("path"),
+        "n_descendants",
+        "on_cycle",
+    )
+
+
+def p5_descendants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pairs = hierarchy.descendant_pairs(_part_of(spark, sf_dir))
+    return pairs.select(F.col("group_id").alias("paper_id"), F.col("ancestor").alias("ancestor_id"), F.col("descendant").alias("descendant_id"), "distance")
+
+
 QUERIES = {
     "p1_found": p1_found,
     "p1_records": _p1_level("records"),
     "p1_sections": _p1_level("sections"),
     "p1_units": _p1_level("units"),
     "p1_scores": _p1_level("scores"),
+    "p4_found": p4_found,
+    "p4_report": p4_report,
+    "p5_found": p5_found,
+    "p5_paths": p5_paths,
+    "p5_descendants": p5_descendants,
 }
 
-ORACLE: dict[str, str] = {}
+
+_ALIAS = "CASE WHEN p IN ('setting', 'set', 'ent') THEN 'exp' WHEN p = 'met' THEN 'mea' WHEN p = 'clm' THEN 'fnd' WHEN p = 'ctx' THEN 'prb' ELSE p END"
+
+
+def canon_sql(col: str) -> str:
+    """The canonical id of ``col`` in DuckDB SQL."""
+    head, rest = f"split_part({col}, ':', 1)", f"substr({col}, strpos({col}, ':') + 1)"
+    slug = f"regexp_replace(regexp_replace(lower({rest}), '[^a-z0-9_]+', '_', 'g'), '^_+|_+$', '', 'g')"
+    alias = _ALIAS.replace("CASE WHEN p ", f"CASE WHEN {head} ").replace("WHEN p = ", f"WHEN {head} = ").replace("ELSE p ", f"ELSE {head} ")
+    return f"CASE WHEN strpos({col}, ':') > 0 THEN {alias} || ':' || coalesce(nullif({slug}, ''), {rest}) ELSE {col} END"
+
+
+_ENDS = f"""ends AS (
+  SELECT DISTINCT relation_no, endpoint, paper_id, recorded_at, {canon_sql("id")} AS unit_id FROM (
+    SELECT relation_no, paper_id, recorded_at, 'source' AS endpoint, source_id AS id FROM relations
+    UNION ALL SELECT relation_no, paper_id, recorded_at, 'target', target_id FROM relations)
+  WHERE trim(id, ' \t\n\r\f\v' || chr(160)) <> ''),
+moves AS (
+  SELECT paper_id, {canon_sql("unit_id")} AS unit_id, changed_at, bool_or(op = 'delete') AS gone FROM graph_units GROUP BY ALL),
+state AS (
+  SELECT e.*, coalesce(m.gone, true) AS orphan FROM ends e ASOF LEFT JOIN moves m
+  ON e.paper_id = m.paper_id AND e.unit_id = m.unit_id AND e.recorded_at >= m.changed_at)"""
+
+_TREE = f"""links AS (
+  SELECT paper_id, child, min(parent) AS parent FROM (
+    SELECT paper_id, {canon_sql("source_id")} AS child, {canon_sql("target_id")} AS parent FROM relations
+    WHERE relation = 'part_of' AND trim(source_id, ' \t\n\r\f\v' || chr(160)) <> '' AND trim(target_id, ' \t\n\r\f\v' || chr(160)) <> '')
+  GROUP BY ALL),
+nodes AS (SELECT paper_id, child AS node FROM links UNION SELECT paper_id, parent FROM links),
+tree AS (
+  SELECT paper_id, node, node AS root, 0 AS depth, node AS path FROM nodes n
+  WHERE NOT EXISTS (SELECT 1 FROM links l WHERE l.paper_id = n.paper_id AND l.child = n.node)
+  UNION ALL
+  SELECT l.paper_id, l.child, t.root, t.depth + 1, t.path || ' / ' || l.child FROM tree t JOIN links l ON l.paper_id = t.paper_id AND l.parent = t.node)"""
+
+ORACLE: dict[str, str] = {
+    "p4_found": f"WITH {_ENDS} SELECT relation_no, endpoint FROM state WHERE orphan",
+    "p4_report": f"""WITH {_ENDS} SELECT 'relations' AS table_name, endpoint, strftime(recorded_at, '%Y-%m') AS month,
+  count(*) AS n_endpoints, count(*) FILTER (WHERE orphan) AS n_orphans FROM state GROUP BY ALL""",
+    "p5_found": f"""WITH RECURSIVE {_TREE} SELECT n.paper_id, n.node AS unit_id, coalesce(t.root, '') AS root_id,
+  CAST(coalesce(t.depth, -1) AS INTEGER) AS depth FROM nodes n LEFT JOIN tree t ON t.paper_id = n.paper_id AND t.node = n.node""",
+}
