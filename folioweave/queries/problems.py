@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from folioweave.functions import ids
-from folioweave.operators import hierarchy, nested, orphans
+from folioweave.operators import hierarchy, nested, orphans, quantities
 from folioweave.session import table
 
 
@@ -18,6 +18,25 @@ def _p1_level(level: str):
     return lambda spark, sf_dir: nested.flatten_level(table(spark, sf_dir, "extractions"), level)
 
 
+def p2_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    t = lambda name: table(spark, sf_dir, name)
+    return quantities.other_units(t("result_rows"), t("unit_refs"), t("metric_refs"), "row_no")
+
+
+def p2_values(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every number of result_rows in the common unit of its quantity."""
+    t = lambda name: table(spark, sf_dir, name)
+    return quantities.convert(t("result_rows"), t("unit_refs"), t("metric_refs"), ["row_no"]).dropDuplicates()
+
+
+def p2_measures(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every number in the scores of the Measures of extractions in the common unit of its quantity."""
+    t = lambda name: table(spark, sf_dir, name)
+    scores = nested.flatten_level(t("extractions"), "scores").where((F.col("type") == "Measure") & F.col("is_object"))
+    key = ["record_key", "extraction_no", "section_no", "unit_no", "unit_id", "score_no"]
+    return quantities.convert(scores, t("unit_refs"), t("metric_refs"), key, value="value", metric="name", metric_norm=None, caption=None)
+
+
 def _endpoints(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row per endpoint of a relation with its canonical key; blank endpoints are left out."""
     rel = table(spark, sf_dir, "relations").select("relation_no", "paper_id", "source_id", "target_id", "recorded_at")
@@ -104,6 +123,9 @@ QUERIES = {
     "p1_sections": _p1_level("sections"),
     "p1_units": _p1_level("units"),
     "p1_scores": _p1_level("scores"),
+    "p2_found": p2_found,
+    "p2_values": p2_values,
+    "p2_measures": p2_measures,
     "p4_found": p4_found,
     "p4_report": p4_report,
     "p5_found": p5_found,
