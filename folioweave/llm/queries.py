@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from folioweave.llm import tokens
+from folioweave.llm import quality, tokens
 from folioweave.session import table
 
 
@@ -12,8 +12,20 @@ def p6_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokens.encode_table(table(spark, sf_dir, "documents"))
 
 
+def p8_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.not_prose(table(spark, sf_dir, "documents"), table(spark, sf_dir, "common_words"))
+
+
+def p8_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with its statistics, their percentiles and robust z-scores, and the tails it lies in."""
+    stats = quality.document_statistics(table(spark, sf_dir, "documents"), table(spark, sf_dir, "common_words"))
+    return quality.flagged(quality.scored(stats))
+
+
 QUERIES = {
     "p6_ids": p6_ids,
+    "p8_found": p8_found,
+    "p8_stats": p8_stats,
 }
 
 ORACLE: dict[str, str] = {}
