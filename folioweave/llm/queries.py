@@ -4,10 +4,23 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from folioweave.llm import quality, tokens
+from folioweave.llm import matching, quality, tokens
 from folioweave.session import table
 
 
+def _p3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return matching.match(table(spark, sf_dir, "cited_refs"), table(spark, sf_dir, "paper_catalog"))
+
+
+def p3_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _p3(spark, sf_dir).select("cat_no", "ref_no")
+
+
+def p3_matches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every match with its rule, the evidence and the rule's confidence."""
+    return matching.with_confidence(_p3(spark, sf_dir))
+
+
 def p6_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokens.encode_table(table(spark, sf_dir, "documents"))
 
@@ -23,6 +36,8 @@ def p8_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "p3_found": p3_found,
+    "p3_matches": p3_matches,
     "p6_ids": p6_ids,
     "p8_found": p8_found,
     "p8_stats": p8_stats,
