@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from folioweave.llm import matching, quality, tokens
+from folioweave.llm import matching, mixing, quality, tokens
 from folioweave.session import table
 
 
@@ -25,6 +25,21 @@ def p6_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokens.encode_table(table(spark, sf_dir, "documents"))
 
 
+def p7_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The documents of every mix with their number of copies."""
+    return mixing.mixture(table(spark, sf_dir, "documents"), table(spark, sf_dir, "mix_goals"))[0]
+
+
+def p7_shares(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The share that each source reaches in every mix, beside its target."""
+    return mixing.shares(*mixing.mixture(table(spark, sf_dir, "documents"), table(spark, sf_dir, "mix_goals")))
+
+
+def p7_temperature(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The shares of the mixes whose token shares are exponentiated to the entropy of their targets."""
+    return mixing.shares(*mixing.mixture(table(spark, sf_dir, "documents"), table(spark, sf_dir, "mix_goals"), rule="temperature"))
+
+
 def p8_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.not_prose(table(spark, sf_dir, "documents"), table(spark, sf_dir, "common_words"))
 
@@ -39,6 +54,9 @@ QUERIES = {
     "p3_found": p3_found,
     "p3_matches": p3_matches,
     "p6_ids": p6_ids,
+    "p7_mix": p7_mix,
+    "p7_shares": p7_shares,
+    "p7_temperature": p7_temperature,
     "p8_found": p8_found,
     "p8_stats": p8_stats,
 }
