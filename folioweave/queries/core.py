@@ -6,13 +6,13 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from folioweave.queries import problems
+from folioweave.queries import problems, scalars
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 QUERIES: dict[str, Query] = {}
 ORACLE: dict[str, str] = {}
-for _module in (problems,):
+for _module in (problems, scalars):
     QUERIES |= _module.QUERIES
     ORACLE |= _module.ORACLE
 
