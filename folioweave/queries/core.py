@@ -6,13 +6,13 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from folioweave.queries import problems, scalars
+from folioweave.queries import problems, scalars, texts
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 QUERIES: dict[str, Query] = {}
 ORACLE: dict[str, str] = {}
-for _module in (problems, scalars):
+for _module in (problems, scalars, texts):
     QUERIES |= _module.QUERIES
     ORACLE |= _module.ORACLE
 
