@@ -27,3 +27,47 @@ ID_PREFIX = {
     "Problem": "prb",
 }
 ID_ALIASES = {"setting": "exp", "set": "exp", "ent": "exp", "met": "mea", "clm": "fnd", "ctx": "prb"}
+
+# Fixed values.
+CONTRIBUTION_KINDS = ("method", "dataset", "benchmark", "finding")
+SETUP_KINDS = ("dataset", "benchmark", "task", "data_split", "inference_protocol", "training_config", "ensembling", "population")
+DOCUMENT_KINDS = ("research_article", "review", "meta_analysis", "methodology", "benchmark_survey")
+FINDING_KINDS = ("descriptive", "mechanistic", "comparative", "modeling", "ablation_finding", "failure_mode", "theorem", "lemma", "bound")
+POLARITIES = ("positive", "negative", "neutral", "mixed")
+METHOD_KINDS = (
+    "algorithm", "model_architecture", "training_strategy", "objective_function", "resource", "taxonomy", "theorem", "lemma",
+    "bound", "definition", "assumption",
+)
+DIRECTIONS = ("higher_is_better", "lower_is_better", "target", "unspecified")
+VALUE_KINDS = ("numeric", "symbolic", "asymptotic", "qualitative", "curve")
+TABLE_ROLES = ("main_result", "ablation")
+KINDS_BY_TYPE = {"Document": DOCUMENT_KINDS, "Contribution": CONTRIBUTION_KINDS, "ExperimentSetup": SETUP_KINDS, "Finding": FINDING_KINDS}
+METHOD_FAMILY = ("Contribution", "Component")
+EVAL_FRAME_WORDS = ("evaluation", "eval", "dataset", "benchmark", "experiments", "experiment")
+ACCEPTED_VERSIONS = ("section-ir-0.12", "section-ir-0.13", "section-ir-0.14", "section-ir-0.15", "section-ir-0.16", "section-ir-0.17")
+RECONCILE_VERSIONS = ("section-ir-0.12", "section-ir-0.13", "section-ir-0.14", "section-ir-0.15")
+CITATION_ROLES = (
+    "compares_with", "uses_component", "builds_on", "inspired_by", "adapts_idea_from", "addresses_limitation_of", "analyzes_property_of",
+)
+REFERENCE_EDGE_ROLES = ("builds_on", "uses", "compares_to")
+_PARTS = ("Contribution", "Component", "ExperimentSetup")
+RELATION_MATRIX = {
+    "part_of": (("Component", "ExperimentSetup"), _PARTS),
+    "builds_on": (_PARTS, _PARTS),
+    "uses": (_PARTS, _PARTS),
+    "co_contribution": (("Contribution",), ("Contribution",)),
+    "compares_to": ((*_PARTS, "Measure"), (*_PARTS, "Measure")),
+    "evaluates": (("Measure",), METHOD_FAMILY),
+    "about": (("Finding",), (*_PARTS, "Measure")),
+    "supports": (("Measure", "Finding", *METHOD_FAMILY), ("Finding",)),
+    "motivates": (("Problem",), _PARTS),
+    "resolves": (("Finding",), ("Problem",)),
+}
+
+
+def matrix_rows() -> list[tuple[str, str, str]]:
+    return [(r, s, t) for r, (sources, targets) in RELATION_MATRIX.items() for s in sources for t in targets]
+
+
+def section_unit_rows() -> list[tuple[str, str]]:
+    return [(s, t) for s, types in SECTION_UNIT_TYPES.items() for t in types]
