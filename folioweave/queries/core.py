@@ -6,16 +6,17 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from folioweave.queries import assembly, problems, scalars, texts
+from folioweave.queries import assembly, corpus, problems, scalars, texts
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 QUERIES: dict[str, Query] = {}
 ORACLE: dict[str, str] = {}
-for _module in (problems, scalars, texts, assembly):
+for _module in (problems, scalars, texts, assembly, corpus):
     QUERIES |= _module.QUERIES
     ORACLE |= _module.ORACLE
 
 
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return QUERIES["p1_found"](spark, sf_dir)
+    """The best system of every dataset and metric over all result rows."""
+    return QUERIES["q4_leaderboards"](spark, sf_dir)
