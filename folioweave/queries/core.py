@@ -6,13 +6,13 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from folioweave.queries import assembly, corpus, problems, scalars, texts
+from folioweave.queries import assembly, corpus, problems, scalars, sources, texts
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 QUERIES: dict[str, Query] = {}
 ORACLE: dict[str, str] = {}
-for _module in (problems, scalars, texts, assembly, corpus):
+for _module in (problems, scalars, texts, assembly, corpus, sources):
     QUERIES |= _module.QUERIES
     ORACLE |= _module.ORACLE
 
