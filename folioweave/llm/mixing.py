@@ -89,9 +89,9 @@ def target_weights(target: list[float], capacity: list[float], budget: float) ->
     aim = [t / sum(aim) for t in aim]
     filled = lambda scale: [min(c, scale * t * budget) for t, c in zip(aim, capacity)]
     top = max(c / (t * budget) for t, c in zip(aim, capacity) if t) + 1
-    scale = 1.0 if sum(filled(1.0)) >= budget * (1 - 1e-12) else _bisect(1.0, top, lambda x: sum(filled(x)) <= budget)
+    scale = 1.0 if sum(filled(1.0)) >= budget * (1 - 1e-12) else math.exp(_bisect(0.0, math.log(top), lambda x: sum(filled(math.exp(x))) <= budget))
     w = filled(scale)
-    return scale, [x / sum(w) for x in w]
+    return scale, [min(x / sum(w), c / budget) for x, c in zip(w, capacity)]
 
 
 def plan(goals: pd.DataFrame, sizes: dict[str, int], corpus_tokens: int, rule: str = "target") -> pd.DataFrame:

@@ -254,7 +254,7 @@ def quantiles(stats: DataFrame) -> DataFrame:
     return _sketches(stats).select(
         "language",
         F.kll_sketch_get_n_double(STATISTICS[0]).alias("n"),
-        *(F.kll_sketch_get_quantile_double(F.col(s), grid).alias(s) for s in STATISTICS),
+        *(F.when(F.kll_sketch_get_n_double(s) > 0, F.kll_sketch_get_quantile_double(F.col(s), grid)).alias(s) for s in STATISTICS),
     )
 
 
