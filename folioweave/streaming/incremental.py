@@ -19,8 +19,7 @@ def new_blocks(spark: SparkSession, folder: str) -> DataFrame:
     return T.blocks(files.select(paper.alias("paper_id"), F.col("value").alias("text")), "paper_id")
 
 
-def process_new(spark: SparkSession, folder: str, out: str, checkpoint: str) -> int:
-    """Writes the blocks of files not seen before to ``out`` as Parquet and returns the number of input rows."""
+def process_new(spark: SparkSession, folder: str, out: str, checkpoint: str) -> None:
+    """Writes the blocks of the files not seen before to ``out`` as Parquet."""
     q = new_blocks(spark, folder).writeStream.format("parquet").option("checkpointLocation", checkpoint).trigger(availableNow=True).start(out)
     q.awaitTermination()
-    return sum(p["numInputRows"] for p in q.recentProgress)
