@@ -51,6 +51,7 @@ SCALE_FLOOR = {
 LANGUAGE_SHARE = 0.05
 #: A language of fewer documents is held against the whole corpus as well.
 MIN_LANGUAGE = 100
+LANGUAGE_BOUND = 1_000
 
 # Function words beside those of the given table.
 FUNCTION_WORDS = {
@@ -261,14 +262,14 @@ def quantiles(stats: DataFrame) -> DataFrame:
 def scored(stats: DataFrame) -> DataFrame:
     """``stats`` with z_<statistic> and p_<statistic> against the language, or the corpus where a text has none."""
     stats = cut(stats)
-    # One row per known language (the lexicon's, '*' and 'und'): a dozen rows whatever the corpus.
-    q = cut(quantiles(stats))
-    corpus = q.where("language = '*'").select(*(F.col(s).alias(f"c_{s}") for s in STATISTICS))
-    own = (F.col("language") != "und") & (F.col("n") >= MIN_LANGUAGE)
-    q = q.where("language <> '*'").crossJoin(F.broadcast(corpus)).select(  # one row on the right
-        "language", *(F.when(own, F.col(s)).otherwise(F.col(f"c_{s}")).alias(f"__{s}") for s in STATISTICS)
-    )
-    joined = stats.join(F.broadcast(q), "language", "left")
+    # A row of quantiles per language of the lexicon, '*' and 'und': a dozen rows whatever the corpus.
+    q = {r["language"]: r for r in quantiles(stats).limit(LANGUAGE_BOUND + 1).collect()}
+    if len(q) > LANGUAGE_BOUND:
+        raise ValueError(f"more than {LANGUAGE_BOUND} languages")
+    use = {k: r if k != "und" and r["n"] >= MIN_LANGUAGE else q["*"] for k, r in q.items() if k != "*"}
+    schema = "language string, " + ", ".join(f"__{s} array<double>" for s in STATISTICS)
+    refs = stats.sparkSession.createDataFrame([(k, *(r[s] for s in STATISTICS)) for k, r in use.items()], schema)
+    joined = stats.join(F.broadcast(refs), "language", "left")
 
     def z(s: str) -> Column:
         q = F.col(f"__{s}")
