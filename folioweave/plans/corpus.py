@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from folioweave.functions import scalar as S
 from folioweave.functions import vocab
@@ -92,14 +93,15 @@ def type_counts(units: DataFrame) -> DataFrame:
 
 def relation_means(edges: DataFrame, papers: DataFrame) -> DataFrame:
     """A4: edges of every relation and their mean per paper."""
-    n = papers.select("paper_id").dropDuplicates().agg(F.count(F.lit(1)).alias("n_papers"))
+    n_papers = papers.select(F.countDistinct("paper_id")).head()[0]
     g = edges.groupBy("relation").agg(F.count(F.lit(1)).alias("n_edges"))
-    return g.crossJoin(F.broadcast(n)).select("relation", "n_edges", (F.col("n_edges") / F.col("n_papers")).alias("per_paper"))  # one row on the right
+    return g.select("relation", "n_edges", (F.col("n_edges") / n_papers).alias("per_paper"))
 
 
 def version_census(versions: DataFrame) -> DataFrame:
     """Documents per version; the corpus is uniform, mixed or unknown."""
     g = versions.groupBy(F.coalesce("ir_version", F.lit("unknown")).alias("version")).agg(F.count(F.lit(1)).alias("n"))
-    kinds = g.agg(F.count(F.lit(1)).alias("k"), F.max("version").alias("v"))
-    state = F.when((F.col("k") == 1) & (F.col("v") == "unknown"), "unknown").when(F.col("k") == 1, "uniform").otherwise("mixed")
-    return g.crossJoin(F.broadcast(kinds.select(state.alias("state"))))  # one row on the right
+    everything = Window.partitionBy(F.lit(1))  # one row per version
+    alone = F.count(F.lit(1)).over(everything) == 1
+    state = F.when(alone & (F.col("version") == "unknown"), "unknown").when(alone, "uniform").otherwise("mixed")
+    return g.withColumn("state", state)
