@@ -107,6 +107,12 @@ def _scan_range(pdf: pd.DataFrame) -> pd.DataFrame:
     return _scan(_build(pdf))
 
 
+def _short_keys(df: DataFrame) -> DataFrame:
+    """Keys as 128 bits of hash, 16 bytes in every shuffle; two keys of 10^12 share them with a chance below 10^-14."""
+    k = F.col("key")
+    return df.withColumn("key", F.when(k.isNotNull(), F.struct(F.xxhash64(k).alias("a"), F.xxhash64(F.lit(7919), k).alias("b"))))
+
+
 def orphan_references(
     refs: DataFrame,
     changes: DataFrame,
@@ -117,6 +123,7 @@ def orphan_references(
     ``refs``: ref_id (unique with ``which``), which, key, at. ``changes``: key, at, up (boolean).
     ``key`` may be any type that can be grouped, also a struct.
     """
+    refs, changes = _short_keys(refs), _short_keys(changes)
     refs = refs.where(F.col("key").isNotNull() & F.col("at").isNotNull()).withColumn("month_no", _month_no(F.col("at")))
     changes = changes.where(F.col("key").isNotNull() & F.col("at").isNotNull() & F.col("up").isNotNull())
     changes = changes.select("key", "at", "up", _month_no(F.col("at")).alias("month_no"))
