@@ -331,3 +331,42 @@ def test_match_prefix(spark):
     idf = spark.createDataFrame([("abcdef",), ("abcd",), ("zzzz",)], "id string")
     names = spark.createDataFrame([("abcdefgh",), ("abcdxy",), ("abcd",)], "name string")
     assert {r.id: r.name for r in sample.match_prefix(idf, names, 4).collect()} == {"abcdef": "abcdefgh", "abcd": "abcd"}
+
+
+def test_asof_against_brute_force(spark):
+    import random
+
+    from folioweave.operators.asof import asof
+
+    rng = random.Random(7)
+    right = [(rng.choice("abc"), rng.randint(0, 60), rng.randint(0, 9)) for _ in range(80)] + [(None, 3, 1), ("a", None, 1)]
+    left = [(i, rng.choice("aabcd"), rng.randint(0, 60)) for i in range(150)] + [(900, None, 5), (901, "a", None)]
+    r = spark.createDataFrame(right, "k string, t int, v int")
+    lf = spark.createDataFrame(left, "i int, k string, t int")
+    for forward in (False, True):
+        got = {x.i: x.v for x in asof(lf, r, ["k"], "t", "v", F.floor(F.col("t") / 7), forward).collect()}
+        assert len(got) == len(left)
+        for i, k, t in left:
+            fits = [(tt, v) for kk, tt, v in right if k is not None and t is not None and kk == k and tt is not None and (tt >= t if forward else tt <= t)]
+            near = (min if forward else max)(tt for tt, _ in fits) if fits else None
+            assert got[i] == (max(v for tt, v in fits if tt == near) if fits else None), (i, k, t, forward)
+
+
+def test_command_line_fails_with_an_exit_code(tmp_path, monkeypatch):
+    from folioweave import __main__ as cli
+
+    class Session:
+        class builder:  # noqa: N801
+            @staticmethod
+            def appName(name):  # noqa: N802
+                return type("B", (), {"getOrCreate": staticmethod(lambda: None)})
+
+    monkeypatch.setattr(cli, "SparkSession", Session)
+    assert cli.main(["convert", str(tmp_path), str(tmp_path / "o")]) == 1
+
+
+def test_legacy_marks(spark):
+    from folioweave.plans.pipeline import legacy_marks
+
+    got = apply(spark, legacy_marks, ['{"a": [{"paradigm_tags": 1}]}', '{"a": {"type": "Method"}}', '{"type": "Measure", "name": "Method"}', None, "broken"])
+    assert got == [True, True, False, False, False]
