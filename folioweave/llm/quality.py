@@ -125,7 +125,7 @@ class Lexicon:
         letters = sum(map(len, words))
         if n < 4:
             return None if letters >= 0.6 * size and not item else False
-        if letters < 0.55 * size or letters < 2.8 * n or len(_NOISE.findall(bare)) > 0.04 * size:
+        if 2 * len(bare.split()) < n or letters < 0.55 * size or letters < 2.8 * n or len(_NOISE.findall(bare)) > 0.04 * size:
             return False
         held = sum(w.lower() in self.any for w in words)
         if sum(map(str.isupper, words)) > 0.8 * n:  # written in capitals throughout

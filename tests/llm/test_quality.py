@@ -27,6 +27,7 @@ OTHER = [
     ".detadp usihpar garapeh terofeb sreiltu orevode garevas jpglrfwggxqb cmqjbwdxhqkllkrhcdmp",
     "nRCeqSFWYfjbXsy42KspiMEsuf075oE2l9RwvG0BMBbDRcJcj9YcCg6XczHcjLxuoKoGzB",
     "=========================================",
+    "3186NSQcV9EOUH4CO/oOfnZm0PSa844VWd122t2zC726GoP/5tvTljd8065Fgsy6/l7rJEYAeBMH6HO5u1MWPWIwz9M/a8de/la1d2l",
     "b~ea^|iucc1r.e`^a slnbs^c.'~dd rdldr;cc  atbIldr`r.lablo l d n Ilner'^a~''c,.  s l n d",
     "mixers critics projector aligners tokenizer adapter critic aligner encoders head adapter planner",
     "2025-04-16 WARN stage=head rc=6 tok=3020 retry=2",
