@@ -242,3 +242,15 @@ LEFT JOIN (SELECT paper_id, arg_min(source_id, (relation <> 'resolves', relation
     "v_issues": _with(_U, _N, _E, _MATRIX, _TE, _ISSUES, body="SELECT paper_id, rule, subject FROM i"),
     "v11_valid": _with(_U, _N, _E, _MATRIX, _TE, _ISSUES, body="SELECT c.paper_id, coalesce(k, 0) AS n_issues, k IS NULL AS valid FROM (SELECT DISTINCT paper_id FROM paper_catalog) c LEFT JOIN (SELECT paper_id, count(*) AS k FROM i GROUP BY ALL) x ON x.paper_id = c.paper_id"),
 }
+
+from folioweave.queries.texts import _BLOCKS  # noqa: E402
+
+ORACLE |= {
+    "r12_markers": _with(_S, _BLOCKS, body="""SELECT s.paper_id, count(*) FILTER (WHERE k.marker IS NOT NULL) AS n_kept, count(*) AS n FROM s
+LEFT JOIN (SELECT DISTINCT paper_id, marker FROM blocks WHERE strpos(lower(b), '<table') > 0) k ON k.paper_id = s.paper_id AND k.marker = s.table_marker GROUP BY ALL"""),
+    "r29_provenance_rate": _with(_BLOCKS, body="""SELECT e.paper_id, count(*) AS n_markers, count(k.marker) AS n_resolved FROM (SELECT paper_id, unnest(provenance) AS marker FROM (SELECT DISTINCT relation_no, paper_id, provenance FROM relations)) e
+LEFT JOIN (SELECT DISTINCT paper_id, marker FROM blocks) k ON k.paper_id = e.paper_id AND k.marker = e.marker WHERE regexp_full_match(e.marker, '§[0-9]+') GROUP BY ALL"""),
+    "r16_backfill": _with(_U, f"ep AS (SELECT DISTINCT relation_no, paper_id, {canon_sql('source_id')} AS source_id, provenance FROM relations)", body="""SELECT paper_id, id, coalesce(array_to_string(coalesce(own, CASE WHEN section IS NOT NULL THEN sib END), ','), '') AS markers FROM (
+SELECT u.paper_id, u.id, u.section, f.pv AS own, arg_min(f.pv, (changed_at, u.id)) FILTER (WHERE f.pv IS NOT NULL) OVER (PARTITION BY u.paper_id, u.section) AS sib FROM u
+LEFT JOIN (SELECT paper_id, source_id, arg_min(provenance, relation_no) AS pv FROM ep WHERE len(provenance) > 0 GROUP BY ALL) f ON f.paper_id = u.paper_id AND f.source_id = u.id)"""),
+}

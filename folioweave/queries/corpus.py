@@ -265,3 +265,12 @@ list_transform(resource_urls, lambda x: regexp_replace(lower(regexp_extract(CASE
     "x5_difference": _with(_U, _N, body="SELECT a.paper_id, a.n - b.n AS d_n FROM (SELECT paper_id, count(*) AS n FROM u GROUP BY ALL) a JOIN (SELECT paper_id, count(*) AS n FROM n GROUP BY ALL) b ON a.paper_id = b.paper_id"),
     "x7_defects": _with(_R, body="SELECT CASE WHEN salience IS NOT NULL THEN coalesce(nullif(venue, ''), stance) ELSE stance END AS attribution, count(*) AS n FROM r WHERE NOT (salience IS NOT NULL AND coalesce(year < 2015, false)) GROUP BY ALL"),
 }
+
+_LINK = f"""uk AS (SELECT DISTINCT paper_id, id, {_CITE('k')} AS norm FROM (SELECT u.paper_id, u.id, unnest(x.cite_keys) AS k FROM u JOIN chg x ON x.paper_id = u.paper_id AND x.id = u.id AND x.changed_at = u.changed_at AND x.op <> 'delete') WHERE {_CITE('k')} <> ''),
+un AS (SELECT paper_id, {norm_sql('name')} AS nm, min(id) AS id FROM u WHERE {norm_sql('name')} <> '' GROUP BY ALL HAVING count(DISTINCT id) = 1),
+lk AS (SELECT DISTINCT r.paper_id, r.ref_no AS ref_id, uk.id AS unit_id FROM r JOIN uk ON uk.paper_id = r.paper_id AND uk.norm = {_CITE('r.cite_key')}),
+al AS (SELECT * FROM lk UNION SELECT r.paper_id, r.ref_no, un.id FROM r JOIN un ON un.paper_id = r.paper_id AND un.nm = {norm_sql('r.title')} WHERE NOT EXISTS (SELECT 1 FROM lk WHERE lk.paper_id = r.paper_id AND lk.ref_id = r.ref_no))"""
+ORACLE |= {
+    "j4_link_units": _with(_U, _R, _LINK, body="SELECT paper_id, ref_id, unit_id FROM al"),
+    "j5_unit_references": _with(_U, _R, _LINK, body="SELECT paper_id, unit_id, string_agg(CAST(ref_id AS VARCHAR), ',' ORDER BY ref_id) AS ref_ids FROM al GROUP BY ALL"),
+}

@@ -169,3 +169,9 @@ LEFT JOIN (SELECT paper_id, count(*) AS y FROM e GROUP BY ALL) b USING (paper_id
     "x9_outcomes": _with(_W, body="""SELECT count(*) FILTER (WHERE value_num IS NOT NULL AND source = 'transcribed') AS fixed, count(*) FILTER (WHERE value_num IS NOT NULL AND source <> 'transcribed' AND value_in_transcribed) AS partial,
 count(*) FILTER (WHERE value_num IS NOT NULL AND source <> 'transcribed' AND NOT coalesce(value_in_transcribed, false)) AS still, count(*) FILTER (WHERE value_num IS NULL) AS n_a, 0 AS regression FROM w"""),
 }
+
+from folioweave.queries.texts import _BLOCKS  # noqa: E402
+
+ORACLE |= {
+    "v9_markers": _with(_W, _BLOCKS, body="""SELECT row_no FROM w WHERE table_marker IS NOT NULL AND NOT EXISTS (SELECT 1 FROM blocks k WHERE k.paper_id = w.paper_id AND k.marker = w.table_marker AND strpos(lower(b), '<table') > 0)"""),
+}

@@ -129,3 +129,6 @@ SELECT unit_id, coalesce(nullif(name, ''), nullif(description, ''), unit_id) AS
     "n28_marker_order": "SELECT row_no, coalesce(try_cast(nullif(regexp_extract(table_marker, '([0-9]+)', 1), '') AS BIGINT), 1000000000) AS marker_no FROM result_rows",
 }
 ORACLE["n24_paper_key"] = "SELECT cat_no, paper_id AS key_by_dir, paper_id AS key_by_stem FROM paper_catalog"
+ORACLE |= {
+    "n14_formula_key": f"SELECT unit_id, regexp_replace(description, '\\s+', '', 'g') AS formula_key FROM graph_units",
+}
