@@ -170,6 +170,8 @@ def convert(
 ) -> DataFrame:
     """``key``, quantity, value, unit_code, stated_by, common_unit, common_value of each number."""
     spark = rows.sparkSession
+    if unit_refs.limit(TABLE_BOUND + 1).count() > TABLE_BOUND:
+        raise ValueError(f"unit_refs has more than {TABLE_BOUND} rows")
     text = lambda c: F.col(c) if c else F.lit(None).cast("string")
     norm = F.trim(F.regexp_replace(F.lower(F.coalesce(text(metric_norm), text(metric))), "[^a-z0-9]+", " "))
     names = _names(metric_refs)
