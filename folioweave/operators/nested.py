@@ -73,7 +73,7 @@ def _no_variants() -> Column:
 
 def _members(v: Column) -> Column:
     """The elements of a list or the values of an object, decoded; else an empty array."""
-    return F.transform(F.coalesce(_list_of(v), F.map_values(_map_of(v)), _no_variants()), _decoded)
+    return F.transform(_let(v, lambda x: F.coalesce(_list_of(x), F.map_values(_map_of(x)), _no_variants())), _decoded)
 
 
 def _objects(a: Column) -> Column:
@@ -109,30 +109,26 @@ def _score(s: Column) -> Column:
     )
 
 
-def _unit_of(default: str | None) -> Callable[[Column], Column]:
-    return lambda u: _unit(u, F.lit(default).cast("string"))
-
-
-def _unit(u: Column, default: Column) -> Column:
-    scores = _let(_decoded(_get(u, "scores")), _as_list)
+def _unit(entry: Column) -> Column:
+    """The unit of an entry struct<v, t> with the type t where it has none of its own."""
+    u = entry["v"]
     return F.struct(
         _text(u, "id").alias("unit_id"),
-        F.coalesce(_text(u, "type"), default).alias("type"),
+        F.coalesce(_text(u, "type"), entry["t"]).alias("type"),
         *(_text(u, k).alias(k) for k in ("kind", "name", "description", "statement", "unit", "comparison_direction", "source_table_marker")),
-        F.transform(scores, _score).alias("scores"),
+        F.transform(_let(_decoded(_get(u, "scores")), _as_list), _score).alias("scores"),
     )
 
 
 def _section(s: Column) -> Column:
-    plain = F.transform(_objects(_let(_decoded(_get(s, "units")), _members)), _unit_of(None))
-    typed = [
-        F.transform(_objects(_let(_decoded(_get(s, key)), _members)), _unit_of(kind))
-        for key, kind in TYPED_ARRAY_KEYS.items()
-    ]
+    """A section with its units: those of the unit list, then those of the typed arrays, each read once."""
+    arrays = F.array(*(F.struct(_get(s, key).alias("a"), F.lit(kind).cast("string").alias("t")) for key, kind in (("units", None), *TYPED_ARRAY_KEYS.items())))
+    filled = F.filter(arrays, lambda x: x["a"].isNotNull())
+    entries = F.flatten(F.transform(filled, lambda x: F.transform(_members(_decoded(x["a"])), lambda u: F.struct(u.alias("v"), x["t"].alias("t")))))
     return F.struct(
         _text(s, "section_type").alias("section_type"),
         _text(s, "anchor_id").alias("anchor_id"),
-        F.concat(plain, *typed).alias("units"),
+        F.transform(F.filter(entries, lambda x: _is_object(x["v"])), _unit).alias("units"),
     )
 
 
@@ -151,12 +147,12 @@ def canonical_records(df: DataFrame, key: str = "record_no", payload: str = "pay
             lambda v: F.when(_get(v, "section_type").isNotNull(), F.array(v)).otherwise(_members(v)),
         )
         # Units beside the sections form a section of their own, the last.
+        every = F.concat(F.transform(_objects(listed), unwrapped), F.array(d))
         return F.struct(
             F.coalesce(_get(_get(d, "document"), "doc_id", "string"), _text(d, "doc_id")).alias("doc_id"),
             _get(_get(d, "document"), "title", "string").alias("title"),
             F.filter(
-                F.concat(F.transform(_objects(listed), lambda s: _let(unwrapped(s), _section)), F.array(_section(d))),
-                lambda s: s["section_type"].isNotNull() | s["anchor_id"].isNotNull() | (F.size(s["units"]) > 0),
+                F.transform(every, _section), lambda s: s["section_type"].isNotNull() | s["anchor_id"].isNotNull() | (F.size(s["units"]) > 0)
             ).alias("sections"),
         )
 
