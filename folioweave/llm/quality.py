@@ -3,8 +3,9 @@
 One pass over the texts gives the statistics of each document. Quantile sketches (KLL) of every
 statistic are kept per language and merged over all languages; with them each value becomes a
 percentile (in steps of GRID) and a robust z-score (median and interquartile range). Documents in a tail that
-prose does not reach are flagged, and of these the ones are found whose sentences of natural
-prose hold less than half of the characters.
+prose does not reach are flagged; a prose share below PROSE_BOUND is a tail of its own, whatever
+share of the corpus has it. Found are the documents whose sentences of natural prose hold less
+than half of the characters; the z-scores add flags and never keep one of these documents back.
 
 A sentence is natural prose if function words of some language hold together its words, most of
 them do not start with a capital (titles of works do) and it consists of letters in the main.
@@ -47,6 +48,8 @@ SCALE_FLOOR = {
     "n_words": 50.0, "mean_word_length": 0.3, "symbol_ratio": 0.02, "digit_ratio": 0.02, "line_end_ratio": 0.1,
     "common_ratio": 0.03, "capital_ratio": 0.05, "prose_share": 0.08,
 }
+#: A prose share below this is a tail, however many documents have it.
+PROSE_BOUND = 0.5
 #: A text with fewer function words than this share has no language of its own and is held against the whole corpus.
 LANGUAGE_SHARE = 0.05
 #: A language of fewer documents is held against the whole corpus as well.
@@ -286,11 +289,13 @@ def scored(stats: DataFrame) -> DataFrame:
 
 def flagged(scores: DataFrame) -> DataFrame:
     """Adds ``tails``: the statistics in whose tail a document lies."""
-    tail = F.array_compact(F.array(*(F.when(F.abs(F.col(f"z_{s}")) > TAIL_Z, F.lit(s)) for s in STATISTICS)))
+    beyond = {s: F.abs(F.col(f"z_{s}")) > TAIL_Z for s in STATISTICS}
+    beyond["prose_share"] = beyond["prose_share"] | (F.col("prose_share") < PROSE_BOUND)
+    tail = F.array_compact(F.array(*(F.when(beyond[s], F.lit(s)) for s in STATISTICS)))
     return scores.withColumn("tails", F.when(F.col("prose_share").isNull(), F.array().cast("array<string>")).otherwise(tail))
 
 
 def not_prose(df: DataFrame, common_words: DataFrame | None = None, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """The documents in some tail whose prose holds less than half of their characters."""
+    """The documents whose prose holds less than half of their characters, each of them in a tail by PROSE_BOUND."""
     got = flagged(scored(document_statistics(df, common_words, key, text)))
-    return got.where((F.size("tails") > 0) & (F.col("prose_share") < 0.5)).select(key).dropDuplicates()
+    return got.where((F.size("tails") > 0) & (F.col("prose_share") < PROSE_BOUND)).select(key).dropDuplicates()

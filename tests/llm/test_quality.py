@@ -85,6 +85,16 @@ def test_found(spark, docs):
     assert Q.not_prose(english, None).count() == 0
 
 
+@pytest.mark.parametrize("other", [100, 200])
+def test_found_where_much_of_the_corpus_is_no_prose(spark, other):
+    """A third and two thirds of lists, which are then no outliers."""
+    rows = [(i, OTHER[0] if i < other else PROSE["en"]) for i in range(300)]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string")
+    assert sorted(r.doc_id for r in Q.not_prose(df).collect()) == list(range(other))
+    flagged = Q.flagged(Q.scored(Q.document_statistics(df))).where(F.array_contains("tails", "prose_share"))
+    assert sorted(r.doc_id for r in flagged.collect()) == list(range(other))
+
+
 def test_scores(docs):
     rows = Q.flagged(Q.scored(Q.document_statistics(docs))).collect()
     assert len(rows) == docs.count()
