@@ -425,7 +425,8 @@ def unit_sections(units: DataFrame) -> DataFrame:
 
 
 def issues(units: DataFrame, edges: DataFrame, nodes: DataFrame) -> DataFrame:
-    """(paper_id, rule, subject) of every violation; a paper without rows is valid."""
+    """(paper_id, rule, subject) of the violations of V2, V3, V5, V6, V7 and V10 that the SQL of v_issues holds; the other
+    ones are in ``further_issues``, and only a paper without rows in both is valid (V11)."""
     id_rx = "^[a-z]+:[a-z0-9_]+$"
     u = units.withColumn("rule", F.explode(F.array_compact(F.array(
         F.when(~F.coalesce(F.col("id").rlike(id_rx), F.lit(False)), "id_format"),
@@ -451,6 +452,49 @@ def issues(units: DataFrame, edges: DataFrame, nodes: DataFrame) -> DataFrame:
     return out.unionByName(missing.select("paper_id", F.lit("not_materialised").alias("rule"), F.col("id").alias("subject"))).dropDuplicates()
 
 
+def further_issues(units: DataFrame, edges: DataFrame, scores: DataFrame, marked: DataFrame, tables: DataFrame, versions: DataFrame) -> DataFrame:
+    """V4, V6, V8, V9: (paper_id, rule, subject) of the violations that ``issues`` leaves out.
+
+    scores(paper_id, measure_id, system_id, setup_id, variant, value, unit, direction, table_role) holds the rows of the
+    Measures, marked(paper_id, marker) the table markers of all result rows, tables(paper_id, marker) the captured tables, versions(paper_id, ir_version) one row per paper. A null
+    section is unknown and not taken for another one; a null direction or role is absent; a null version is a fault.
+    """
+    empty = lambda c: ~truthy(F.col(c))
+    u = units.withColumn("rule", F.explode(F.array_compact(F.array(
+        F.when(F.col("type").isin(*vocab.KINDS_BY_TYPE) & empty("kind"), "kind_missing"),
+        F.when(F.col("type").isin("Finding", "Problem") & empty("description"), "text_missing"),
+    ))))
+    out = u.select("paper_id", "rule", F.col("id").alias("subject"))
+    out = out.unionByName(empty_measures(units, scores).select("paper_id", F.lit("no_scores").alias("rule"), F.col("id").alias("subject")))
+    known = units.dropDuplicates(KEY)
+    measures = known.where("type = 'Measure'").select("paper_id", F.col("id").alias("measure_id"), F.col("section").alias("m_section"))
+    s = scores.join(measures, ["paper_id", "measure_id"])
+    for end in ("system", "setup"):
+        ends = known.select("paper_id", F.col("id").alias(f"{end}_id"), F.lit(True).alias(f"{end}_there"), *(F.col(c).alias(f"{end}_{c}") for c in ("type", "kind", "section")))
+        s = s.join(ends, ["paper_id", f"{end}_id"], "left")
+    is_setup = (F.col("setup_type") == "ExperimentSetup") | (F.col("setup_type") == "Contribution") & F.col("setup_kind").isin("dataset", "benchmark")
+    no = lambda c: ~F.coalesce(c, F.lit(False))
+    s = s.withColumn("rule", F.explode(F.array_compact(F.array(
+        F.when(empty("unit"), "unit_missing"),
+        F.when(empty("variant"), "variant_missing"),
+        F.when(F.col("value").isNull(), "value_missing"),
+        F.when(~empty("system_id") & F.col("system_there").isNull(), "unknown_system"),
+        F.when(F.col("system_there") & no(F.col("system_type").isin(*vocab.METHOD_FAMILY)), "system_type"),
+        F.when(~empty("setup_id") & F.col("setup_there").isNull(), "unknown_setup"),
+        F.when(F.col("setup_there") & (F.col("setup_section") != F.col("m_section")), "setup_section"),
+        F.when(F.col("setup_there") & no(is_setup), "setup_type"),
+        F.when(F.col("direction").isNotNull() & ~F.col("direction").isin(*vocab.DIRECTIONS), "direction"),
+        F.when(F.col("table_role").isNotNull() & ~F.col("table_role").isin(*vocab.TABLE_ROLES), "table_role"),
+    ))))
+    out = out.unionByName(s.select("paper_id", "rule", F.col("measure_id").alias("subject")))
+    lost = marked.where(truthy(F.col("marker"))).join(tables.select("paper_id", "marker").dropDuplicates(), ["paper_id", "marker"], "left_anti")
+    out = out.unionByName(lost.select("paper_id", F.lit("table_marker").alias("rule"), F.col("marker").alias("subject")))
+    bare = edges.where("provenance is null")
+    out = out.unionByName(bare.select("paper_id", F.lit("edge_provenance").alias("rule"), F.col("source_id").alias("subject")))
+    version = versions.where(no(F.col("ir_version").isin(*vocab.ACCEPTED_VERSIONS)))
+    return out.unionByName(version.select("paper_id", F.lit("ir_version").alias("rule"), F.col("ir_version").alias("subject"))).dropDuplicates()
+
+
 def share_of(df: DataFrame, value: str, groups: list[str]) -> DataFrame:
     """The share of a value in the total; ``df`` is an aggregate of a few rows."""
     return df.withColumn("share", F.col(value) / F.sum(value).over(Window.partitionBy(*groups) if groups else Window.partitionBy(F.lit(1))))

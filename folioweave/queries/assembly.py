@@ -78,6 +78,24 @@ def _flat(units):
     return units.drop("ord", "cite_keys")
 
 
+def further_issues(s, d):
+    r = table(s, d, "result_rows").where("source = 'transcribed'").dropDuplicates(["row_no"]).select(C("row_no").alias("ord"), "direction", "table_role")
+    marked = table(s, d, "result_rows").select("paper_id", C("table_marker").alias("marker")).where("paper_id is not null").dropDuplicates()
+    captured = V.paper_blocks(s, d).where("text rlike '(?i)<table'").select("paper_id", "marker")
+    last = F.max_by(F.struct("ir_version"), F.struct("received_at", "record_no")).alias("e")
+    versions = table(s, d, "extractions").groupBy("paper_id").agg(last).select("paper_id", "e.ir_version").where("paper_id is not null")
+    return A.further_issues(V.units(s, d), V.edges(s, d), V.scores(s, d).join(r, "ord"), marked, captured, versions)
+
+
+def valid_all(s, d):
+    """V11 over the issues of both lists."""
+    both = A.issues(V.units(s, d), V.edges(s, d), V.nodes(s, d)).unionByName(further_issues(s, d))
+    n = both.groupBy("paper_id").agg(F.count(F.lit(1)).alias("n_issues"))
+    return table(s, d, "paper_catalog").select("paper_id").dropDuplicates().join(n, "paper_id", "left").select(
+        "paper_id", F.coalesce("n_issues", F.lit(0).cast("bigint")).alias("n_issues"), C("n_issues").isNull().alias("valid")
+    )
+
+
 QUERIES = {
     "c1_root_backfill": _ctx(lambda u, n, e, s: A.root_backfill(n.where("type <> 'Contribution' or kind = 'method'")).groupBy("paper_id", "type", "kind").agg(_n())),
     "c2_reprefix": _ctx(lambda u, n, e, s: A.reprefix(n).select("paper_id", "id", "type")),
@@ -118,6 +136,8 @@ QUERIES = {
     "g4_arc": _ctx(lambda u, n, e, s: A.discovery_arc(u, e)),
     "g5_sections": lambda s, d: A.unit_sections(table(s, d, "graph_units").select("paper_id", C("unit_id").alias("id"), "section", C("changed_at").alias("ord")).where("section is not null")),
     "v_issues": _ctx(lambda u, n, e, s: A.issues(u, e, n)),
+    "v4_issues": further_issues,
+    "v11_valid_all": valid_all,
     "v11_valid": lambda s, d: table(s, d, "paper_catalog").select("paper_id").dropDuplicates().join(
         A.issues(V.units(s, d), V.edges(s, d), V.nodes(s, d)).groupBy("paper_id").agg(F.count(F.lit(1)).alias("n_issues")), "paper_id", "left"
     ).select("paper_id", F.coalesce("n_issues", F.lit(0).cast("bigint")).alias("n_issues"), C("n_issues").isNull().alias("valid")),

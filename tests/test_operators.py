@@ -370,3 +370,29 @@ def test_legacy_marks(spark):
 
     got = apply(spark, legacy_marks, ['{"a": [{"paradigm_tags": 1}]}', '{"a": {"type": "Method"}}', '{"type": "Measure", "name": "Method"}', None, "broken"])
     assert got == [True, True, False, False, False]
+
+
+def test_further_issues(spark):
+    unit = "paper_id string, id string, section string, type string, kind string, name string, description string"
+    rows = [
+        ("good", "mea:a", "evidence", "Measure", None, "a", None), ("good", "con:c", "method", "Contribution", "method", "c", None),
+        ("good", "exp:d", "evidence", "ExperimentSetup", "dataset", "d", None),
+        ("bad", "mea:a", "evidence", "Measure", None, "a", None), ("bad", "mea:none", "evidence", "Measure", None, "a", None),
+        ("bad", "con:c", "method", "Contribution", None, "c", None), ("bad", "con:ds", "method", "Contribution", "dataset", "c", None),
+        ("bad", "prb:p", "problem", "Problem", None, "p", ""), ("bad", "fnd:f", "evidence", "Finding", "bound", "f", None),
+    ]
+    units = spark.createDataFrame(rows, unit)
+    score = "paper_id string, measure_id string, system_id string, setup_id string, variant string, value string, unit string, direction string, table_role string"
+    scores = spark.createDataFrame([
+        ("good", "mea:a", "con:c", "exp:d", "v", "1", "%", "target", "ablation"), ("good", "mea:a", "", None, "v", "1", "%", None, None),
+        ("bad", "mea:a", "fnd:f", "con:c", "", None, None, "up", "side"), ("bad", "mea:a", "con:x", "exp:x", "v", "1", "%", None, None),
+        ("bad", "mea:a", None, "con:ds", "v", "1", "%", None, None),
+    ], score)
+    edges = spark.createDataFrame([("good", "mea:a", []), ("bad", "mea:a", None)], "paper_id string, source_id string, provenance array<string>")
+    marked = spark.createDataFrame([("good", "§1"), ("good", None), ("bad", "§9")], "paper_id string, marker string")
+    tables = spark.createDataFrame([("good", "§1"), ("bad", "§1")], "paper_id string, marker string")
+    versions = spark.createDataFrame([("good", "section-ir-0.17"), ("bad", "section-ir-0.1"), ("none", None)], "paper_id string, ir_version string")
+    got = {tuple(r) for r in A.further_issues(units, edges, scores, marked, tables, versions).collect()}
+    on_a = ["unit_missing", "variant_missing", "value_missing", "unknown_system", "system_type", "unknown_setup", "setup_section", "setup_type", "direction", "table_role", "edge_provenance"]
+    want = {("bad", r, "mea:a") for r in on_a} | {("bad", "no_scores", "mea:none"), ("bad", "kind_missing", "con:c"), ("bad", "text_missing", "prb:p"), ("bad", "text_missing", "fnd:f"), ("bad", "table_marker", "§9")}
+    assert got == want | {("bad", "ir_version", "section-ir-0.1"), ("none", "ir_version", None)}
