@@ -10,7 +10,8 @@ the same rows.
 
 Defined results: links with a null or blank end and null groups are left out by the caller or
 dropped here when null; repeated links count once; of several parents of one child the
-smallest is followed and ``n_parents`` tells their number; a self link is a cycle; a node on a
+smallest is followed and ``n_parents`` tells their number, and with ``all_nodes`` a parent that is
+not followed and has no other link is a root of its own; a self link is a cycle; a node on a
 cycle or below one has root '' , depth -1 and an empty path; the descendants of a node on a
 cycle are those hanging below it outside the cycle; an empty table gives empty tables; extra
 columns are ignored.
@@ -193,13 +194,29 @@ def _in_tasks(links: DataFrame, make, schema: str) -> DataFrame:
     return rows.mapInArrow(_task(make), schema)
 
 
-def hierarchy(edges: DataFrame, group_edges: int = GROUP_EDGES) -> DataFrame:
-    """One row per node of ``edges`` (group_id, child, parent), see NODE_SCHEMA, with n_parents."""
+def _not_followed(edges: DataFrame, links: DataFrame) -> DataFrame:
+    """The parents that occur in no followed link, as roots."""
+    key = ["group_id", "node"]
+    several = links.where("n_parents > 1").select("group_id", "child")
+    parents = edges.join(several, ["group_id", "child"], "left_semi").where("parent is not null").select("group_id", F.col("parent").alias("node")).dropDuplicates()
+    for end in ("child", "parent"):
+        parents = parents.join(links.select("group_id", F.col(end).alias("node")), key, "left_anti")
+    return parents.select(
+        *key, F.lit(None).cast("string").alias("parent"), F.col("node").alias("root"), F.lit(0).alias("depth"), F.array("node").alias("path"),
+        F.lit(0).cast("bigint").alias("n_descendants"), F.lit(False).alias("on_cycle"),
+    )
+
+
+def hierarchy(edges: DataFrame, group_edges: int = GROUP_EDGES, all_nodes: bool = False) -> DataFrame:
+    """One row per node of the followed links of ``edges`` (group_id, child, parent), see NODE_SCHEMA, with n_parents;
+    with ``all_nodes`` one per endpoint of ``edges``."""
     links = cut(_links(edges))
     small, large = _split(links, group_edges)
     nodes = _in_tasks(small, _node_rows, NODE_SCHEMA)
     if large is not None:
         nodes = nodes.unionByName(_peel_by_joins(large)[0])
+    if all_nodes and not links.where("n_parents > 1").isEmpty():
+        nodes = nodes.unionByName(_not_followed(edges, links))
     several = links.where("n_parents > 1").select("group_id", F.col("child").alias("node"), "n_parents")
     return nodes.join(several, ["group_id", "node"], "left").withColumn(
         "n_parents", F.coalesce("n_parents", F.when(F.col("parent").isNotNull(), 1).otherwise(0).cast("bigint"))

@@ -93,13 +93,13 @@ def _part_of(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def p5_found(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return hierarchy.hierarchy(_part_of(spark, sf_dir)).select(
+    return hierarchy.hierarchy(_part_of(spark, sf_dir), all_nodes=True).select(
         F.col("group_id").alias("paper_id"), F.col("node").alias("unit_id"), F.col("root").alias("root_id"), "depth"
     )
 
 
 def p5_paths(spark: SparkSession, sf_dir: str) -> DataFrame:
-    h = hierarchy.hierarchy(_part_of(spark, sf_dir))
+    h = hierarchy.hierarchy(_part_of(spark, sf_dir), all_nodes=True)
     return h.select(
         F.col("group_id").alias("paper_id"),
         F.col("node").alias("unit_id"),

@@ -240,3 +240,15 @@ def test_hierarchy_edge_cases(spark):
     got = {(r.group_id, r.node): (r.root, r.depth, r.n_parents, r.on_cycle) for r in H.hierarchy(df).collect()}
     assert got == {("g", "a"): ("b", 1, 2, False), ("g", "b"): ("b", 0, 0, False), ("g", "s"): ("", -1, 1, True), ("h", "a"): ("b", 1, 1, False), ("h", "b"): ("b", 0, 0, False)}
     assert H.hierarchy(df.limit(0)).count() == 0 and H.descendant_pairs(df.limit(0)).count() == 0
+
+
+def test_parents_that_are_not_followed_stay_nodes(spark, tmp_path):
+    from folioweave.queries import problems
+
+    rows = [(1, "p", "cmp:a", "con:b"), (2, "p", "cmp:a", "con:c"), (3, "p", "cmp:a", "cmp:d"), (4, "p", "cmp:d", "con:b"), (5, "q", "cmp:a", "con:b")]
+    rel = spark.createDataFrame(rows, "relation_no bigint, paper_id string, source_id string, target_id string").withColumn("relation", F.lit("part_of"))
+    rel.write.parquet(str(tmp_path / "relations.parquet"))
+    want = {("p", "cmp:a"): ("con:b", 2), ("p", "cmp:d"): ("con:b", 1), ("p", "con:b"): ("con:b", 0), ("p", "con:c"): ("con:c", 0), ("q", "cmp:a"): ("con:b", 1), ("q", "con:b"): ("con:b", 0)}
+    for name in ("p5_found", "p5_paths"):
+        got = [tuple(r) for r in problems.QUERIES[name](spark, str(tmp_path)).select("paper_id", "unit_id", "root_id", "depth").collect()]
+        assert len(got) == len(want) and {r[:2]: r[2:] for r in got} == want
