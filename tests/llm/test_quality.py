@@ -95,6 +95,15 @@ def test_found_where_much_of_the_corpus_is_no_prose(spark, other):
     assert sorted(r.doc_id for r in flagged.collect()) == list(range(other))
 
 
+@pytest.mark.parametrize("n", [Q.MIN_LANGUAGE - 1, Q.MIN_LANGUAGE])
+def test_found_does_not_depend_on_the_size_of_a_language(spark, n):
+    """A German text that is mostly a list, among n German texts and a corpus with many lists."""
+    mixed = PROSE["de"] + "\n\n" + "\n".join(["- entity linking", "- Graph Routing"] * 6)
+    rows = [(i, PROSE["de"]) for i in range(n - 1)] + [(1000 + i, PROSE["en"]) for i in range(100)] + [(3000 + i, OTHER[0]) for i in range(150)] + [(5000, mixed)]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string")
+    assert sorted(r.doc_id for r in Q.not_prose(df).collect()) == [*range(3000, 3150), 5000]
+
+
 def test_scores(docs):
     rows = Q.flagged(Q.scored(Q.document_statistics(docs))).collect()
     assert len(rows) == docs.count()
