@@ -1,20 +1,28 @@
 """Per-document text statistics and the documents that are not natural prose (problem 8).
 
 One pass over the texts gives the statistics of each document. Quantile sketches (KLL) of every
-statistic are kept per language and merged over all languages; with them each value becomes a
-percentile (in steps of GRID) and a robust z-score (median and interquartile range). Documents in a tail that
-prose does not reach are flagged; a prose share below PROSE_BOUND is a tail of its own, whatever
-share of the corpus has it. Found are the documents whose sentences of natural prose hold less
-than half of the characters; the z-scores add flags and never keep one of these documents back.
-
-A sentence is natural prose if function words of some language hold together its words, most of
-them do not start with a capital (titles of works do) and it consists of letters in the main.
-Lines broken in the middle of a sentence are joined first.
-
-Defined results: a null, empty or blank text has statistics of 0 and a null prose share and is
-never flagged; texts are used whole, at any length; a repeated row gives its result twice in
-the statistics and once in the found documents; ``lang`` is not used, the language is taken from
-the words; an empty table gives an empty table; extra columns are ignored.
+statistic are kept per language over all documents and merged over all languages; with them each
+value becomes a percentile (in steps of GRID) and a robust z-score. Location and scale of a z-score
+are the median and the interquartile range of the prose part of the distribution: raters' labels tell
+which share of a language is no prose, and that share is left out on the side of the statistic's tail
+(``TAIL_SIDE``) before the quartiles are read from the sketch. So the scores stay the same whether a
+tenth or two thirds of a corpus are lists and tables.
+
+The tails are weighed into one score; the weights and the bound of the score are fitted on labelled
+documents (at most ``LABEL_BOUND``, those with the lowest hash; a fifth of them is held out). Found are
+the documents whose score lies beyond the bound. Quantiles of a language are blended with those of the
+corpus by its number of documents (``BLEND``), its share by its number of labels (``SHARE_BLEND``).
+
+One of the statistics is the share of characters in sentences of natural prose: common words hold
+together their words, most of them do not start with a capital (titles of works do) and they consist
+of letters in the main. Lines broken in the middle of a sentence are joined first.
+
+Defined results: a null, empty or blank text has statistics of 0 and a null prose share and is never
+flagged; texts are used whole, at any length; a repeated row gives its result twice in the statistics
+and once in the found documents; ``lang`` is not used, the language is taken from the words; labels of
+null form are ignored, a document whose raters disagree evenly as well; without labels of both kinds the
+default weights and bound hold; without common words no sentence is prose and no document stands out by
+it; an empty table gives an empty table; extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -22,6 +30,8 @@ from __future__ import annotations
 import re
 from collections.abc import Iterator
 
+import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -39,47 +49,32 @@ STATISTICS = (
     "prose_share",
 )
 SKETCH_K = 400
-#: Ranks whose values are read from the sketches; a percentile is the highest of them that a value reaches.
+#: Ranks of the percentiles; a percentile is the highest of them that a value reaches.
 GRID = (0.01, *(k / 20 for k in range(1, 20)), 0.99)
-_Q1, _MEDIAN, _Q3 = GRID.index(0.25), GRID.index(0.5), GRID.index(0.75)
-#: Robust z-scores beyond this are a tail; SCALE_FLOOR keeps a statistic that hardly varies from flagging small deviations.
-TAIL_Z = 2.0
+#: Ranks read from the sketches; quartiles of the prose part lie between two of them.
+RANKS = tuple(k / 200 for k in range(201))
+#: Where no prose lies: above (1), below (-1) or on both sides (0).
+TAIL_SIDE = {
+    "n_words": -1, "mean_word_length": 0, "symbol_ratio": 1, "digit_ratio": 1, "line_end_ratio": -1,
+    "common_ratio": -1, "capital_ratio": 1, "prose_share": -1,
+}
+#: A z-score beyond this on its side is a tail, beyond Z_LIMIT it counts no more; SCALE_FLOOR keeps a statistic that hardly varies from small deviations.
+TAIL_Z, Z_LIMIT = 2.0, 8.0
 SCALE_FLOOR = {
     "n_words": 50.0, "mean_word_length": 0.3, "symbol_ratio": 0.02, "digit_ratio": 0.02, "line_end_ratio": 0.1,
     "common_ratio": 0.03, "capital_ratio": 0.05, "prose_share": 0.08,
 }
-#: A prose share below this is a tail, however many documents have it.
-PROSE_BOUND = 0.5
-#: A text with fewer function words than this share has no language of its own and is held against the whole corpus.
+#: Documents after which a language's own quantiles weigh as much as those of the corpus; labels for its share.
+BLEND, SHARE_BLEND = 100, 10
+#: Labelled documents that are fitted on at most; every HOLD_OUT-th is kept for the evaluation.
+LABEL_BOUND, HOLD_OUT = 20_000, 5
+#: Weights and bound of the score without labels, and the penalty of a fitted weight.
+DEFAULT_WEIGHTS = {s: 4.0 if s == "prose_share" else 0.0 for s in STATISTICS}
+DEFAULT_BOUND, PENALTY = 2.5, 1.0
+#: A text with fewer common words than this share has no language of its own and is held against the whole corpus.
 LANGUAGE_SHARE = 0.05
-#: A language of fewer documents is held against the whole corpus as well.
-MIN_LANGUAGE = 100
 LANGUAGE_BOUND = 1_000
 
-# Function words beside those of the given table.
-FUNCTION_WORDS = {
-    "en": "about above across after again against all also although always among any around because before behind being below "
-    "between beyond could did does down during each either every few first for had her here him how however if itself just less "
-    "many me might most much must my neither never nor now often once other out over own per rather same she should since still "
-    "such then them themselves those though through too toward under until up upon us very via was well where whether while whose "
-    "why within without yet your",
-    "de": "aber alle als am bis da damit danach dann darauf deren dessen diese diesem diesen dieser dieses doch durch einem einen "
-    "einer eines etwas für gegen haben hier ihr ihre ihrem ihren ins ja jede jeder jedes kann kaum kein keine können man mehr muss noch ob "
-    "obwohl oder ohne schon sehr seine sein sind so soll über um uns unter vom vor während war warum was weil wenn wer wurde wurden zum zur zwar zwischen",
-    "es": "ante antes aunque bajo cada casi cual cuando cuyo desde después donde dos durante e entre era esa ese eso esta están estas esto estos "
-    "fue han hasta hay la mi mientras mucho muy nada ni nos nuestra nuestro otra otro poco porque pues qué quien sea ser solo también tan "
-    "tanto tiene toda todas todo todos tras unos y ya basta",
-    "fr": "afin ainsi après au aucun aussi autre aux avant bien bien ces cet cette ceux chaque comme comment dont deux donc elle elles "
-    "encore entre être eux fait guère ils jusque leur leurs lors mais malgré même mêmes moins ni nos notre ont ou où parce peu peut "
-    "pourquoi puis quand quel quelle sans selon ses seul si sous tous tout toute toutes très un une vers vos votre y était",
-    "it": "al alla alle anche che chi come con da dal dalla dei del della delle di dopo e è ed era gli il in la le lo ma nei nel nella "
-    "non o per perché più quando questa questo sono su sul sulla tra un una uno",
-    "pt": "a ao aos as até com como da das de do dos e é em entre era essa esse esta este foi mais mas na nas não no nos o os ou para "
-    "pela pelo por quando que se sem ser seu sua são também um uma",
-    "nl": "aan als bij dat de deze die dit door een en er het hoe in is maar met naar niet nog of om onder ook op over te tot uit van voor was wat we wordt ze zijn zo",
-    "zh": "的 了 在 是 和 对 我们 这 不 有 与 为 也 都 而 但 就 被 将 从 其 所 以 及 或 于 中 上 下 它 他 她 你 我 之 者 则 因 由 如 何 仍 并 未 此 很 后 到 说 给 把 没",
-}
-
 _BREAK = re.compile(r"\r\n|[\n\r\x0b\x0c\x85  ]")
 _WORD = re.compile(r"[^\W\d_]+(?:['’\-‑][^\W\d_]+)*")
 _SENTENCE = re.compile(r"(?<=[.!?…])[\"'”’»)\]]*\s+|(?<=[。！？])")
@@ -94,25 +89,23 @@ _ENDS = ".!?…。！？:;"
 
 
 class Lexicon:
-    """Function words by language; Han characters count one by one."""
+    """Common words by language; Han characters count one by one."""
 
     def __init__(self, common: dict[str, list[str]]) -> None:
-        languages: dict[str, set[str]] = {k: set(v.split()) for k, v in FUNCTION_WORDS.items()}
-        for lang, words in common.items():
-            languages.setdefault(lang, set()).update(w.lower() for w in words)
+        languages = {k: {w.lower() for w in v} for k, v in common.items()}
         self.languages = {k: frozenset(w for w in v if not _HAN.search(w)) for k, v in languages.items()}
         self.han = frozenset(c for v in languages.values() for w in v if _HAN.search(w) for c in w)
         self.any = frozenset().union(*self.languages.values())
-        self.common = frozenset(w.lower() for v in common.values() for w in v) or self.any
 
     def language(self, words: list[str], n_han: int) -> str:
         if not words and not n_han:
             return "und"
-        counts = {k: sum(map(v.__contains__, words)) for k, v in self.languages.items()}
-        best = max(sorted(counts), key=counts.__getitem__)
         if n_han > 0.3 * sum(map(len, words)):
             return "zh"
-        return best if counts[best] > LANGUAGE_SHARE * len(words) else "und"
+        held = [w for w in words if w in self.any]
+        counts = {k: sum(map(v.__contains__, held)) for k, v in self.languages.items()}
+        best = max(sorted(counts), key=counts.__getitem__, default="und")
+        return best if counts.get(best, 0) > LANGUAGE_SHARE * len(words) else "und"
 
     def is_prose(self, sentence: str, item: bool) -> bool | None:
         """Whether a sentence is natural prose; None: too short to tell."""
@@ -136,7 +129,7 @@ class Lexicon:
         capitals = sum(w[0].isupper() for w in words[1:])
         if len(_MOJIBAKE.findall(bare)) > 0.1 * n:
             return False
-        if held < 0.13 * n or held < 1 + (n > 9):
+        if held < 0.1 * n or held < 1 + (n > 14):
             return None if n < 6 and not item and capitals < n - 1 else False
         return capitals <= 0.55 * (n - 1)
 
@@ -175,7 +168,8 @@ def _flows(line: str) -> bool:
 
 def statistics_of(text: str, lex: Lexicon) -> tuple:
     """language, then STATISTICS, of one text that is not blank."""
-    words = [w.lower() for w in _WORD.findall(text)]
+    written = _WORD.findall(text)
+    words = [w.lower() for w in written]
     n_han = len(_HAN.findall(text)) if not text.isascii() else 0
     n_words = len(words) + n_han
     length = len(text)
@@ -202,8 +196,8 @@ def statistics_of(text: str, lex: Lexicon) -> tuple:
             label = got
             if got:
                 prose += share
-    capitals = sum(1 for w in _WORD.findall(text) if w[0].isupper())
-    held = sum(map(lex.common.__contains__, words))
+    capitals = sum(w[0].isupper() for w in written)
+    held = sum(map(lex.any.__contains__, words))
     return (
         lex.language(words, n_han),
         float(n_words),
@@ -253,49 +247,139 @@ def _sketches(stats: DataFrame) -> DataFrame:
 
 
 def quantiles(stats: DataFrame) -> DataFrame:
-    """language, n and, for each statistic, its quantiles at GRID."""
-    grid = F.array(*map(F.lit, GRID))
+    """language, n and, for each statistic, its quantiles at RANKS."""
+    ranks = F.array(*map(F.lit, RANKS))
     return _sketches(stats).select(
         "language",
         F.kll_sketch_get_n_double(STATISTICS[0]).alias("n"),
-        *(F.when(F.kll_sketch_get_n_double(s) > 0, F.kll_sketch_get_quantile_double(F.col(s), grid)).alias(s) for s in STATISTICS),
+        *(F.when(F.kll_sketch_get_n_double(s) > 0, F.kll_sketch_get_quantile_double(F.col(s), ranks)).alias(s) for s in STATISTICS),
     )
 
 
-def scored(stats: DataFrame) -> DataFrame:
-    """``stats`` with z_<statistic> and p_<statistic> against the language, or the corpus where a text has none."""
+def labelled(stats: DataFrame, labels: DataFrame | None, key: str = "doc_id") -> pd.DataFrame:
+    """Language, STATISTICS, ``other`` (1: no prose) and ``held_out`` of at most LABEL_BOUND labelled documents."""
+    if labels is None:
+        return pd.DataFrame(columns=["language", *STATISTICS, "other", "held_out"])
+    said = labels.where(F.col("form").isNotNull() & F.col(key).isNotNull()).groupBy(key).agg(F.avg((F.col("form") != "prose").cast("int")).alias("other"))
+    said = said.where("other <> 0.5").withColumn("at", F.xxhash64(key)).orderBy("at").limit(LABEL_BOUND)
+    rows = stats.where("prose_share is not null").join(F.broadcast(said), key).dropDuplicates([key])
+    held_out = F.pmod(F.xxhash64("at"), F.lit(HOLD_OUT)) == 0
+    return rows.select("language", *STATISTICS, F.round("other").cast("int").alias("other"), held_out.alias("held_out")).orderBy("at").toPandas()
+
+
+def references(q: dict, known: pd.DataFrame) -> dict[str, dict[str, tuple[float, float]]]:
+    """Median and scale of the prose part of every statistic, per language and for '*'."""
+    whole = q["*"]
+    at = lambda row, s, rank: float(np.interp(rank, RANKS, row[s]))
+    general = (known["other"].sum() + 1) / (len(known) + 4)
+    out: dict[str, dict[str, tuple[float, float]]] = {}
+    for lang, row in q.items():
+        if lang == "und":
+            continue
+        mine = known[known["language"] == lang]["other"]
+        share = general if lang == "*" else (mine.sum() + SHARE_BLEND * general) / (len(mine) + SHARE_BLEND)
+        own = 0.0 if lang == "*" else row["n"] / (row["n"] + BLEND)
+        out[lang] = {}
+        for s in STATISTICS:
+            quartiles = []
+            for p in (0.25, 0.5, 0.75):
+                value = 0.0
+                for weight, r, away in ((own, row, share), (1 - own, whole, general)):
+                    low = {-1: away, 0: away / 2, 1: 0.0}[TAIL_SIDE[s]]
+                    value += weight * at(r, s, low + (1 - away) * p)
+                quartiles.append(value)
+            out[lang][s] = (quartiles[1], max((quartiles[2] - quartiles[0]) / 1.349, SCALE_FLOOR[s]))
+    return out
+
+
+def _evidence(z: np.ndarray) -> np.ndarray:
+    """Deviations towards the tails, from 0 to 1 at Z_LIMIT."""
+    side = np.array([TAIL_SIDE[s] for s in STATISTICS])
+    return np.where(side == 0, np.abs(z), z * side).clip(0, Z_LIMIT) / Z_LIMIT
+
+
+def fit(x: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, float]:
+    """Weights of a penalised logistic regression and the bound with the fewest errors, in the middle of the widest gap."""
+    if min(y.sum(), len(y) - y.sum()) < 2:
+        return np.array([DEFAULT_WEIGHTS[s] for s in STATISTICS]), DEFAULT_BOUND
+    a = np.column_stack([x, np.ones(len(x))])
+    ridge = np.diag([PENALTY] * x.shape[1] + [1e-3])
+    w = np.zeros(a.shape[1])
+    for _ in range(50):
+        p = 1 / (1 + np.exp(-(a @ w)))
+        step = np.linalg.solve((a * (p * (1 - p))[:, None]).T @ a + ridge, a.T @ (p - y) + ridge @ w)
+        w -= step
+        if np.abs(step).max() < 1e-9:
+            break
+    order = np.argsort(x @ w[:-1], kind="stable")
+    score, other = (x @ w[:-1])[order], y[order]
+    errors = np.concatenate(([0], np.cumsum(other))) + np.concatenate((np.cumsum((1 - other)[::-1])[::-1], [0]))
+    edges = np.concatenate(([score[0] - 1], score, [score[-1] + 1]))
+    gap = np.diff(edges)
+    errors = np.where(gap > 0, errors, len(y) + 1)  # no bound between equal scores
+    k = np.argmax(np.where(errors == errors.min(), gap, 0))
+    return w[:-1], float((edges[k] + edges[k + 1]) / 2)
+
+
+def scored(stats: DataFrame, labels: DataFrame | None = None, key: str = "doc_id") -> DataFrame:
+    """``stats`` with z_<statistic> and p_<statistic> against the language, or the corpus where a text has none, and
+    ``excess``, the weighed evidence less the bound."""
     stats = cut(stats)
     # A row of quantiles per language of the lexicon, '*' and 'und': a dozen rows whatever the corpus.
     q = {r["language"]: r for r in quantiles(stats).limit(LANGUAGE_BOUND + 1).collect()}
     if len(q) > LANGUAGE_BOUND:
         raise ValueError(f"more than {LANGUAGE_BOUND} languages")
-    use = {k: r if k != "und" and r["n"] >= MIN_LANGUAGE else q["*"] for k, r in q.items() if k != "*"}
-    schema = "language string, " + ", ".join(f"__{s} array<double>" for s in STATISTICS)
-    refs = stats.sparkSession.createDataFrame([(k, *(r[s] for s in STATISTICS)) for k, r in use.items()], schema)
-    joined = stats.join(F.broadcast(refs), "language", "left")
-
-    def z(s: str) -> Column:
-        q = F.col(f"__{s}")
-        scale = F.greatest((q[_Q3] - q[_Q1]) / 1.349, F.lit(SCALE_FLOOR[s]))
-        return ((F.col(s) - q[_MEDIAN]) / scale).alias(f"z_{s}")
+    empty = q["*"][STATISTICS[0]] is None
+    known = labelled(stats, labels, key)
+    known = known[~known["held_out"].astype(bool)]
+    refs = {} if empty else references(q, known)
+    weights, bound = np.array([DEFAULT_WEIGHTS[s] for s in STATISTICS]), DEFAULT_BOUND
+    if len(known):
+        of = [refs.get(lang, refs["*"]) for lang in known["language"]]
+        z = np.array([[(v - r[s][0]) / r[s][1] for v, s in zip(row, STATISTICS)] for row, r in zip(known[list(STATISTICS)].to_numpy(), of)])
+        weights, bound = fit(_evidence(z), known["other"].to_numpy(dtype=float))
+    use = {k: (refs[k if k in refs else "*"], q[k if k in refs else "*"]) for k in q if k != "*"}
+    grid = lambda row, s: [float(np.interp(g, RANKS, row[s])) for g in GRID]
+    schema = "language string, " + ", ".join(f"__m_{s} double, __s_{s} double, __q_{s} array<double>" for s in STATISTICS)
+    rows = [(k, *(x for s in STATISTICS for x in (*r[s], grid(row, s)))) for k, (r, row) in use.items()]
+    joined = stats.join(F.broadcast(stats.sparkSession.createDataFrame(rows, schema)), "language", "left")
+
+    def z_of(s: str) -> Column:
+        return ((F.col(s) - F.col(f"__m_{s}")) / F.col(f"__s_{s}")).alias(f"z_{s}")
 
     def rank(s: str) -> Column:
-        reached = F.size(F.filter(f"__{s}", lambda g: g <= F.col(s)))
-        ranks = F.array(F.lit(0.0), *map(F.lit, GRID))
-        return F.when(F.col(s).isNotNull(), F.get(ranks, reached)).alias(f"p_{s}")
+        reached = F.size(F.filter(f"__q_{s}", lambda g: g <= F.col(s)))
+        return F.when(F.col(s).isNotNull(), F.get(F.array(F.lit(0.0), *map(F.lit, GRID)), reached)).alias(f"p_{s}")
 
-    return joined.select(*stats.columns, *(z(s) for s in STATISTICS), *(rank(s) for s in STATISTICS))
+    out = joined.select(*stats.columns, *map(z_of, STATISTICS), *map(rank, STATISTICS))
+    score = F.lit(-bound)
+    for s, w in zip(STATISTICS, weights):
+        score = score + F.greatest(F.lit(0.0), F.least(F.lit(Z_LIMIT), _towards(s))) * float(w / Z_LIMIT)
+    return out.withColumn("excess", F.when(F.col("prose_share").isNotNull(), score))
+
+
+def _towards(s: str) -> Column:
+    """The z-score of a statistic towards its tail."""
+    z = F.col(f"z_{s}")
+    return F.abs(z) if TAIL_SIDE[s] == 0 else z * TAIL_SIDE[s]
 
 
 def flagged(scores: DataFrame) -> DataFrame:
-    """Adds ``tails``: the statistics in whose tail a document lies."""
-    beyond = {s: F.abs(F.col(f"z_{s}")) > TAIL_Z for s in STATISTICS}
-    beyond["prose_share"] = beyond["prose_share"] | (F.col("prose_share") < PROSE_BOUND)
-    tail = F.array_compact(F.array(*(F.when(beyond[s], F.lit(s)) for s in STATISTICS)))
-    return scores.withColumn("tails", F.when(F.col("prose_share").isNull(), F.array().cast("array<string>")).otherwise(tail))
+    """Adds ``tails``, the statistics in whose tail a document lies, and ``is_prose``."""
+    tail = F.array_compact(F.array(*(F.when(_towards(s) > TAIL_Z, F.lit(s)) for s in STATISTICS)))
+    blank = F.col("prose_share").isNull()
+    return scores.withColumn("tails", F.when(blank, F.array().cast("array<string>")).otherwise(tail)).withColumn("is_prose", F.col("excess") <= 0)
+
+
+def not_prose(df: DataFrame, common_words: DataFrame | None = None, labels: DataFrame | None = None, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """The documents whose tails weigh more than the fitted bound."""
+    got = scored(document_statistics(df, common_words, key, text), labels, key)
+    return got.where("excess > 0").select(key).dropDuplicates()
 
 
-def not_prose(df: DataFrame, common_words: DataFrame | None = None, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """The documents whose prose holds less than half of their characters, each of them in a tail by PROSE_BOUND."""
-    got = flagged(scored(document_statistics(df, common_words, key, text)))
-    return got.where((F.size("tails") > 0) & (F.col("prose_share") < PROSE_BOUND)).select(key).dropDuplicates()
+def held_out(stats: DataFrame, labels: DataFrame, key: str = "doc_id") -> DataFrame:
+    """Labelled documents that the fit did not see, counted by their label and the verdict."""
+    said = labels.where(F.col("form").isNotNull() & F.col(key).isNotNull()).groupBy(key).agg(F.avg((F.col("form") != "prose").cast("int")).alias("other"))
+    said = said.where((F.col("other") != 0.5) & (F.pmod(F.xxhash64(F.xxhash64(key)), F.lit(HOLD_OUT)) == 0))
+    got = flagged(scored(stats, labels, key)).where("is_prose is not null").dropDuplicates([key]).join(said, key)
+    return got.groupBy((F.col("other") < 0.5).alias("labelled_prose"), "is_prose").agg(F.count(F.lit(1)).alias("n"))

@@ -41,13 +41,19 @@ def p7_temperature(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def p8_found(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return quality.not_prose(table(spark, sf_dir, "documents"), table(spark, sf_dir, "common_words"))
+    return quality.not_prose(*(table(spark, sf_dir, t) for t in ("documents", "common_words", "form_labels")))
 
 
 def p8_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document with its statistics, their percentiles and robust z-scores, and the tails it lies in."""
     stats = quality.document_statistics(table(spark, sf_dir, "documents"), table(spark, sf_dir, "common_words"))
-    return quality.flagged(quality.scored(stats))
+    return quality.flagged(quality.scored(stats, table(spark, sf_dir, "form_labels")))
+
+
+def p8_held_out(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Verdicts on the labelled documents that were held out of the fit."""
+    stats = quality.document_statistics(table(spark, sf_dir, "documents"), table(spark, sf_dir, "common_words"))
+    return quality.held_out(stats, table(spark, sf_dir, "form_labels"))
 
 
 QUERIES = {
@@ -58,6 +64,7 @@ QUERIES = {
     "p7_shares": p7_shares,
     "p7_temperature": p7_temperature,
     "p8_found": p8_found,
+    "p8_held_out": p8_held_out,
     "p8_stats": p8_stats,
 }
 

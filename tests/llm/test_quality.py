@@ -1,5 +1,7 @@
 """Text statistics, sketches and the search for texts that are not prose."""
 
+import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -76,40 +78,48 @@ def docs(spark):
     return spark.createDataFrame(rows, "doc_id bigint, text string").withColumn("language", F.lit("clash"))
 
 
+def _labels(spark, prose, other):
+    rows = [(i, "prose", "r") for i in prose] + [(i, "list", "r") for i in other] + [(None, "prose", "r"), (prose[0], None, "r"), (77_777, "junk", "r")]
+    return spark.createDataFrame(rows, "doc_id bigint, form string, rater string")
+
+
 def test_found(spark, docs):
     words = spark.read.parquet(WORDS).unionByName(spark.createDataFrame([(None, "x"), ("en", None)], "lang string, word string"))
-    got = sorted(r.doc_id for r in Q.not_prose(docs, words).collect())
-    assert got == [1000 + i for i in range(len(OTHER))]
-    assert Q.not_prose(docs.limit(0), words).count() == 0
-    english = docs.where(F.col("text") == PROSE["en"])
-    assert Q.not_prose(english, None).count() == 0
+    labels = _labels(spark, range(40), range(1000, 1012))
+    want = [1000 + i for i in range(len(OTHER))]
+    assert sorted(r.doc_id for r in Q.not_prose(docs, words, labels).collect()) == want
+    assert sorted(r.doc_id for r in Q.not_prose(docs, words, labels.limit(0)).collect()) == want  # default weights
+    assert Q.not_prose(docs.limit(0), words, labels).count() == 0
+    assert Q.not_prose(docs, None, None).count() == 0  # no common words: nothing stands out
 
 
 @pytest.mark.parametrize("other", [100, 200])
 def test_found_where_much_of_the_corpus_is_no_prose(spark, other):
-    """A third and two thirds of lists, which are then no outliers."""
+    """A third and two thirds of lists, which are then no outliers; some labels are wrong."""
     rows = [(i, OTHER[0] if i < other else PROSE["en"]) for i in range(300)]
     df = spark.createDataFrame(rows, "doc_id bigint, text string")
-    assert sorted(r.doc_id for r in Q.not_prose(df).collect()) == list(range(other))
-    flagged = Q.flagged(Q.scored(Q.document_statistics(df))).where(F.array_contains("tails", "prose_share"))
-    assert sorted(r.doc_id for r in flagged.collect()) == list(range(other))
+    labels = _labels(spark, [*range(other, 300, 3), 1], [*range(0, other, 3), 298])
+    stats = Q.document_statistics(df, spark.read.parquet(WORDS))
+    got = Q.flagged(Q.scored(stats, labels)).where(~F.col("is_prose"))
+    assert sorted(r.doc_id for r in got.collect()) == list(range(other))
 
 
-@pytest.mark.parametrize("n", [Q.MIN_LANGUAGE - 1, Q.MIN_LANGUAGE])
+@pytest.mark.parametrize("n", [5, 99, 100])
 def test_found_does_not_depend_on_the_size_of_a_language(spark, n):
     """A German text that is mostly a list, among n German texts and a corpus with many lists."""
     mixed = PROSE["de"] + "\n\n" + "\n".join(["- entity linking", "- Graph Routing"] * 6)
     rows = [(i, PROSE["de"]) for i in range(n - 1)] + [(1000 + i, PROSE["en"]) for i in range(100)] + [(3000 + i, OTHER[0]) for i in range(150)] + [(5000, mixed)]
     df = spark.createDataFrame(rows, "doc_id bigint, text string")
-    assert sorted(r.doc_id for r in Q.not_prose(df).collect()) == [*range(3000, 3150), 5000]
+    labels = _labels(spark, range(1000, 1040), range(3000, 3060))
+    assert sorted(r.doc_id for r in Q.not_prose(df, spark.read.parquet(WORDS), labels).collect()) == [*range(3000, 3150), 5000]
 
 
-def test_scores(docs):
-    rows = Q.flagged(Q.scored(Q.document_statistics(docs))).collect()
+def test_scores(spark, docs):
+    rows = Q.flagged(Q.scored(Q.document_statistics(docs, spark.read.parquet(WORDS)))).collect()
     assert len(rows) == docs.count()
     for r in rows:
         if r.prose_share is None:
-            assert r.tails == [] and r.p_prose_share is None
+            assert r.tails == [] and r.p_prose_share is None and r.is_prose is None
         else:
             assert 0 <= r.p_n_words <= 1
 
@@ -118,15 +128,33 @@ def test_sketch_quantiles_are_near_the_exact_ones(spark):
     df = spark.range(20_000).select(F.lit("en").alias("language"), *(F.col("id").cast("double").alias(s) for s in Q.STATISTICS))
     q = {r.language: r for r in Q.quantiles(df).collect()}
     assert set(q) == {"en", "*"}
-    for g, v in zip(Q.GRID, q["*"].prose_share):
+    for g, v in zip(Q.RANKS, q["*"].prose_share):
         assert abs(v / 20_000 - g) < 0.01
 
 
-def test_labelled_documents(spark):
-    """Held-out agreement with the raters' labels, of which a few are wrong."""
+def test_prose_part_of_a_distribution():
+    """Median and scale of the upper half, where labels say that half of the texts is no prose."""
+    row = {"n": 10**9, **{s: [2 * max(0.0, r - 0.5) for r in Q.RANKS] for s in Q.STATISTICS}}
+    known = pd.DataFrame({"language": ["en"] * 200, "other": [0, 1] * 100})
+    refs = Q.references({"*": row, "en": row}, known)
+    assert refs["en"]["prose_share"][0] == pytest.approx(0.5, abs=0.01)
+    assert refs["en"]["prose_share"][1] == pytest.approx(0.5 / 1.349, abs=0.02)
+
+
+def test_fit_separates_and_bears_wrong_labels():
+    x = np.zeros((100, len(Q.STATISTICS)))
+    x[:40, -1], x[40:, -1] = 0.9, 0.1
+    y = np.r_[np.ones(40), np.zeros(60)]
+    y[3], y[97] = 0, 1
+    w, bound = Q.fit(x, y)
+    assert 0.1 * w[-1] < bound < 0.9 * w[-1]
+    assert Q.fit(x[:1], y[:1])[1] == Q.DEFAULT_BOUND
+
+
+def test_held_out_labels(spark):
+    """Agreement with the raters' labels that the fit did not see, of which a few are wrong."""
     d = "/root/testdata/sf0.1"
     stats = Q.document_statistics(spark.read.parquet(f"{d}/documents.parquet"), spark.read.parquet(f"{d}/common_words.parquet"))
-    labels = spark.read.parquet(f"{d}/form_labels.parquet").where("form is not null")
-    j = labels.join(stats, "doc_id").where("prose_share is not null")
-    agree = j.agg(F.avg(((F.col("form") == "prose") == (F.col("prose_share") >= 0.5)).cast("int"))).head()[0]
-    assert agree > 0.95
+    rows = Q.held_out(stats, spark.read.parquet(f"{d}/form_labels.parquet")).collect()
+    n = sum(r.n for r in rows)
+    assert n > 60 and sum(r.n for r in rows if r.labelled_prose == r.is_prose) > 0.95 * n
