@@ -3,20 +3,23 @@
 Each mix has a budget (``size_ratio`` of all corpus tokens) and each of its sources a capacity
 (``max_repeats`` times its tokens). Two rules give the weights:
 
-* ``temperature_weights`` exponentiates the token shares, ``w_s ~ share_s ** a``, and bisects the
-  exponent to the entropy of the target shares, or as near to it as the repetition limits let.
+* ``temperature_weights`` exponentiates the token shares, ``w_s ~ share_s ** a``, bisects the exponent to
+  the entropy of the target shares and, where a source would pass its repetition limit, from there
+  towards 1 until it does not. What a source cannot take even then goes to the others in proportion
+  to their weights, so that a budget within the capacities is always filled.
 * ``target_weights`` keeps the targets: ``w_s = min(capacity_s / budget, scale * target_s)``, with the
-  scale bisected until the weights fill the budget. One exponent for all sources moves every share
-  as soon as one source reaches its limit; here the other sources keep their proportions. The
-  mixes of the goal table are made by this rule, since each source must hold its target share.
+  scale bisected until the weights fill the budget. One exponent for all sources gives the entropy of the
+  targets but not the targets; the mixes of the goal table are made by this rule, since each source must
+  hold its target share (the README has the errors of both rules).
 
 A budget beyond all capacities is cut to them.
 
 The weights are realised as budgeted block permutations: a source's budget is a number of whole
 passes over its documents and a rest. A pass is a block in which the documents are permuted by
 a hash of mix, block and document; the rest takes the beginning of one more block. Where the
-rest ends is found by prefix sums over hash bins of the permutation and then within one bin, so
-no source, however large, is ordered or summed in one task.
+rest ends is searched by prefix sums over 2 ** BITS ranges of the hash, again within the range that
+holds the end, and so on until a range has few documents; only these are ordered. So no source, however
+large, is ordered or summed in one task, and no task sums more than 2 ** BITS rows of a source.
 
 Defined results: null and empty texts have no tokens and are in no mix; documents without a
 source are in no mix but count for the corpus; a source of a mix without documents or with a
@@ -30,16 +33,18 @@ from __future__ import annotations
 import math
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from folioweave.llm.tokens import VOCABULARY, count_tokens
 from folioweave.session import cut
 
-#: Documents per hash bin, on average, when the end of a rest is searched.
-BIN_DOCUMENTS = 2_000
+#: Documents that are ordered at once, on average, where a rest ends, and the ranges of a search step (as bits).
+BIN_DOCUMENTS, BITS, CODE_BITS = 2_000, 10, 60
 BISECTIONS = 60
+#: Beyond this exponent all tokens come from the largest source.
+MAX_EXPONENT = 64.0
 GOAL_BOUND = 100_000
 
 
@@ -64,19 +69,23 @@ def tempered(sizes: list[float], exponent: float) -> list[float]:
 
 
 def temperature_weights(sizes: list[float], capacity: list[float], budget: float, goal: float) -> tuple[float, list[float]]:
-    """The exponent in [0, 1] and the weights whose entropy comes nearest to ``goal`` within the limits.
+    """The exponent and the weights whose entropy comes nearest to ``goal`` within the repetition limits.
 
     A falling exponent evens the weights out: entropy and the repetitions of small sources rise.
     """
     usable = [x if c > 0 else 0.0 for x, c in zip(sizes, capacity)]
     budget = min(budget, sum(c for c, x in zip(capacity, usable) if x > 0))
+    if not budget > 0:
+        return 1.0, [0.0] * len(sizes)
 
-    def fine(t: float) -> bool:  # t = 1 - exponent
-        w = tempered(usable, 1 - t)
-        return entropy(w) <= goal and all(x * budget <= c * (1 + 1e-12) for x, c in zip(w, capacity))
+    def fits(a: float) -> bool:
+        return all(x * budget <= c * (1 + 1e-12) for x, c in zip(tempered(usable, a), capacity))
 
-    exponent = 1 - (_bisect(0.0, 1.0, fine) if fine(0.0) else 0.0)
-    return exponent, tempered(usable, exponent)
+    exponent = _bisect(0.0, MAX_EXPONENT, lambda a: entropy(tempered(usable, a)) >= goal) if entropy(tempered(usable, 0.0)) >= goal else 0.0
+    if not fits(exponent):
+        start = exponent
+        exponent = 1.0 + (start - 1.0) * _bisect(0.0, 1.0, lambda t: fits(1.0 + (start - 1.0) * t)) if fits(1.0) else 1.0
+    return exponent, target_weights(tempered(usable, exponent), capacity, budget)[1]
 
 
 def target_weights(target: list[float], capacity: list[float], budget: float) -> tuple[float, list[float]]:
@@ -112,7 +121,6 @@ def plan(goals: pd.DataFrame, sizes: dict[str, int], corpus_tokens: int, rule: s
         if rule == "temperature":
             goal = entropy([max(t, 0.0) / whole for t in target]) if whole else 0.0
             exponent, w = temperature_weights([float(t) for t in tokens], capacity, budget, goal)
-            w = [min(x, c / budget) if budget else 0.0 for x, c in zip(w, capacity)]
         else:
             exponent, w = target_weights(target, capacity, budget)
         for source, t, n, c, x in zip(g["source"], target, tokens, capacity, w):
@@ -147,23 +155,46 @@ def mixture(documents: DataFrame, goals: DataFrame, path: str = VOCABULARY, rule
     sized = _sized(documents, path)
     planned, n_documents = _plan_table(sized, goals, rule)
     docs = sized.join(F.broadcast(planned), "source")
-    bins = max(1, n_documents // BIN_DOCUMENTS)
-    # The block after the last whole pass: its permutation is the order of (bin, place, doc_id).
-    code = F.xxhash64("mix_name", "passes", "doc_id")
-    docs = docs.withColumn("bin", F.pmod(code, F.lit(bins))).withColumn("place", code)
-    by_bin = docs.where("rest > 0").groupBy("mix_name", "source", "bin").agg(F.sum("n_tokens").alias("t"))
-    before = F.coalesce(F.sum("t").over(Window.partitionBy("mix_name", "source").orderBy("bin").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    by_bin = by_bin.withColumn("before", before).select("mix_name", "source", "bin", "before", (F.col("before") + F.col("t")).alias("until"))
-    placed = docs.join(by_bin, ["mix_name", "source", "bin"], "left")
-    inside = F.coalesce((F.col("before") < F.col("rest")) & (F.col("until") > F.col("rest")), F.lit(False))
-    edge = placed.where(inside)
-    w = Window.partitionBy("mix_name", "source", "bin").orderBy("place", "doc_id").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    edge = edge.withColumn("at", F.col("before") + F.sum("n_tokens").over(w)).withColumn("more", (F.col("at") - F.col("n_tokens") / 2 <= F.col("rest")).cast("int"))
-    whole = placed.where(~inside).withColumn("more", F.coalesce((F.col("until") <= F.col("rest")).cast("int"), F.lit(0)))
+    # The block after the last whole pass: its permutation is the order of (code, doc_id).
+    docs = docs.withColumn("code", F.pmod(F.xxhash64("mix_name", "passes", "doc_id"), F.lit(1 << CODE_BITS)))
+    ends = _ends(docs, n_documents)
+    if ends is None:
+        return docs.where("passes > 0").select("mix_name", "source", "doc_id", "n_tokens", F.col("passes").cast("int").alias("copies")), planned
+    low, high, ends = ends
+    placed = docs.join(F.broadcast(ends), ["mix_name", "source"], "left")
+    inside = F.coalesce(F.col("code").between(low, high), F.lit(False))
+    w = Window.partitionBy("mix_name", "source").orderBy("code", "doc_id").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    edge = placed.where(inside).withColumn("at", F.col("before") + F.sum("n_tokens").over(w))
+    edge = edge.withColumn("more", (F.col("at") - F.col("n_tokens") / 2 <= F.col("rest")).cast("int"))
+    whole = placed.where(~inside).withColumn("more", F.coalesce((F.col("code") < low).cast("int"), F.lit(0)))
     cols = ["mix_name", "source", "doc_id", "n_tokens", (F.col("passes") + F.col("more")).cast("int").alias("copies")]
     return edge.select(*cols).unionByName(whole.select(*cols)).where("copies > 0"), planned
 
 
+def _ends(docs: DataFrame, n_documents: int) -> tuple[Column, Column, DataFrame] | None:
+    """The lowest and highest code of the range where the rest of a source ends, as columns of the returned table (a row
+    per mix and source with a rest: mix_name, source, prefix, before); None where there is no rest."""
+    steps, left = 1, n_documents / BIN_DOCUMENTS
+    while left > 1 << BITS and (steps + 1) * BITS <= CODE_BITS:
+        steps, left = steps + 1, left / (1 << BITS)
+    found = None
+    for step in range(1, steps + 1):
+        shift = CODE_BITS - step * BITS
+        part = docs.where("rest > 0")
+        if found is None:
+            part = part.withColumn("before", F.lit(0).cast("bigint"))
+        else:
+            part = part.join(F.broadcast(found), ["mix_name", "source"]).where(F.shiftright("code", shift + BITS) == F.col("prefix")).drop("prefix")
+        sums = part.groupBy("mix_name", "source", "rest", "before", F.shiftright("code", shift).alias("prefix")).agg(F.sum("n_tokens").alias("t"))
+        until = F.col("before") + F.sum("t").over(Window.partitionBy("mix_name", "source").orderBy("prefix").rowsBetween(Window.unboundedPreceding, Window.currentRow))
+        sums = sums.withColumn("until", until).where("until > rest")
+        found = cut(sums.groupBy("mix_name", "source").agg(F.min(F.struct("prefix", (F.col("until") - F.col("t")).alias("before"))).alias("f")).select("mix_name", "source", "f.*"))
+    if found.isEmpty():
+        return None
+    low = F.shiftleft("prefix", shift)
+    return low, low + F.lit((1 << shift) - 1), found
+
+
 def shares(rows: DataFrame, planned: DataFrame) -> DataFrame:
     """Target, weight and reached share, tokens, documents and most copies of every source of every mix."""
     got = rows.groupBy("mix_name", "source").agg(

@@ -29,20 +29,30 @@ def test_target_weights(pairs, ratio):
     assert not free or max(free) == pytest.approx(min(free), rel=1e-3)  # below their limits all keep their proportions
 
 
-@given(st.lists(st.integers(1, 10**6), min_size=2, max_size=8), st.floats(0, 2.5))
+@given(st.lists(st.tuples(st.integers(1, 10**6), st.integers(1, 9)), min_size=2, max_size=8), st.floats(0, 2.5), st.floats(0.05, 4))
 @settings(max_examples=200, deadline=None)
-def test_temperature(values, goal):
-    caps = [4.0 * v for v in values]
-    a, w = M.temperature_weights([float(v) for v in values], caps, 0.5 * sum(values), goal)
-    assert 0 <= a <= 1 and sum(w) == pytest.approx(1)
-    natural = M.entropy(M.tempered([float(v) for v in values], 1))
-    if a < 1:  # moved only towards the goal and within the limits
-        assert M.entropy(w) <= max(goal, natural) + 1e-6
-        assert all(x * 0.5 * sum(values) <= c * (1 + 1e-6) for x, c in zip(w, caps))
+def test_temperature(sources, goal, ratio):
+    sizes, caps = [float(v) for v, _ in sources], [float(v * r) for v, r in sources]
+    budget = min(ratio * sum(sizes), sum(caps))
+    a, w = M.temperature_weights(sizes, caps, budget, goal)
+    assert 0 <= a <= M.MAX_EXPONENT and sum(w) == pytest.approx(1)  # every feasible budget is filled
+    assert all(x * budget <= c * (1 + 1e-6) for x, c in zip(w, caps))
+    free = M.tempered(sizes, a)
+    if all(x * budget < c * 0.999 for x, c in zip(free, caps)):
+        assert w == pytest.approx(free, abs=1e-9)
+        low, high = M.entropy(M.tempered(sizes, M.MAX_EXPONENT)), M.entropy(M.tempered(sizes, 0))
+        assert M.entropy(w) == pytest.approx(min(max(goal, low), high), abs=1e-3)
 
 
-def _mix(spark, docs, goals, monkeypatch, bins=3):
+def test_temperature_where_a_limit_binds_at_exponent_one():
+    """One large source that may not be repeated and a budget beyond its natural share."""
+    a, w = M.temperature_weights([900.0, 100.0], [900.0, 1000.0], 1200.0, 0.3)
+    assert a == 1 and w == pytest.approx([0.75, 0.25])
+
+
+def _mix(spark, docs, goals, monkeypatch, bins=3, bits=2):
     monkeypatch.setattr(M, "BIN_DOCUMENTS", bins)
+    monkeypatch.setattr(M, "BITS", bits)  # several steps of the search
     d = spark.createDataFrame(docs, "doc_id bigint, text string, source string, mix_name string, copies string")
     g = spark.createDataFrame(goals, "mix_name string, source string, target_share double, max_repeats int, size_ratio double")
     rows, plan = M.mixture(d, g)
@@ -75,6 +85,14 @@ def test_deterministic_and_partition_free(spark, monkeypatch):
     pd.testing.assert_frame_equal(a.sort_values(order).reset_index(drop=True), b.sort_values(order).reset_index(drop=True))
 
 
+def test_steps_do_not_change_the_mix(spark, monkeypatch):
+    docs = [(i, "word " * (1 + i % 5), "ab"[i % 2], "x", "y") for i in range(300)]
+    goals = [("m", "a", 1.0, 1, 0.3), ("m", "b", 2.0, 2, 0.3), ("n", "a", 1.0, 2, 0.5)]
+    order = ["mix_name", "doc_id"]
+    got = [_mix(spark, docs, goals, monkeypatch, 3, bits)[0].sort_values(order).reset_index(drop=True) for bits in (1, 10)]
+    pd.testing.assert_frame_equal(*got)
+
+
 def test_empty(spark, monkeypatch):
     rows, shares = _mix(spark, [], [("m", "a", 1.0, 1, 0.3)], monkeypatch)
     assert rows.empty and shares["tokens"].tolist() == [0]
