@@ -8,17 +8,14 @@ from folioweave.llm import matching, mixing, quality, tokens
 from folioweave.session import table
 
 
-def _p3(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return matching.match(table(spark, sf_dir, "cited_refs"), table(spark, sf_dir, "paper_catalog"))
-
-
 def p3_found(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _p3(spark, sf_dir).select("cat_no", "ref_no")
+    return matching.match(table(spark, sf_dir, "cited_refs"), table(spark, sf_dir, "paper_catalog")).select("cat_no", "ref_no")
 
 
 def p3_matches(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every match with its rule, the evidence and the rule's confidence."""
-    return matching.with_confidence(_p3(spark, sf_dir))
+    """Every match with its rule, the evidence, the rule's labels and its confidence."""
+    sides = table(spark, sf_dir, "cited_refs"), table(spark, sf_dir, "paper_catalog")
+    return matching.with_confidence(*matching.cascade(*sides, trace=True), *sides)
 
 
 def p6_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
