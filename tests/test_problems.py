@@ -145,8 +145,11 @@ def brute_orphans(refs, changes):
     return out
 
 
-@pytest.mark.parametrize("seed,ranges", [(1, 1), (2, 3), (3, None)])
-def test_orphans_against_brute_force(spark, seed, ranges):
+@pytest.mark.parametrize("seed,bits,kind", [(1, 8, "timestamp"), (2, 32768, "timestamp_ntz"), (3, 1, "timestamp_ntz")])
+def test_orphans_against_brute_force(spark, monkeypatch, seed, bits, kind):
+    """Several ranges in a task, one, and one per key; hot keys are salted."""
+    monkeypatch.setattr(O, "RANGE_BITS", max(8, bits))
+    monkeypatch.setattr(O, "HOT_ROWS", 3 if seed == 1 else 100_000)
     rng = random.Random(seed)
     day = lambda: datetime(2024, 1, 1) + timedelta(hours=rng.randint(0, 24 * 120))
     keys = [f"k{i}" for i in range(25)]
@@ -154,9 +157,9 @@ def test_orphans_against_brute_force(spark, seed, ranges):
     refs = [(i, rng.choice(["source", "target"]), rng.choice([pick(), pick(), pick(), None]), day()) for i in range(400)]
     changes = [(pick(), day(), rng.random() < 0.6) for _ in range(150)]
     changes += [(k, t, not up) for k, t, up in changes[:20]]  # equal times: the delete wins
-    r = spark.createDataFrame(refs, "ref_id bigint, which string, key string, at timestamp").withColumn("salt", F.lit("x"))
-    c = spark.createDataFrame(changes, "key string, at timestamp, up boolean").withColumn("month_no", F.lit("x"))
-    got = {(x.ref_id, x.which) for x in O.orphan_references(r.select("ref_id", "which", "key", "at"), c, ranges).collect()}
+    r = spark.createDataFrame(refs, f"ref_id bigint, which string, key string, at {kind}").withColumn("salt", F.lit("x"))
+    c = spark.createDataFrame(changes, f"key string, at {kind}, up boolean").withColumn("month_no", F.lit("x"))
+    got = {(x.ref_id, x.which) for x in O.orphan_references(r, c).collect()}
     assert got == brute_orphans(refs, changes)
 
 
@@ -167,6 +170,17 @@ def test_orphans_of_empty_tables(spark):
     assert O.orphan_references(r.limit(0), c).count() == 0
 
 
+def test_membership_filter(spark):
+    from folioweave.operators import membership as B
+
+    keys = spark.range(0, 5000, 2).select(F.xxhash64("id").alias("k"))
+    bitmap = B.key_filter(keys, 2500)
+    rows = spark.range(5000).unionByName(spark.sql("select cast(null as bigint) id"))
+    kept = {r.id for r in B.may_be_in(rows, bitmap, F.when(F.col("id").isNotNull(), F.xxhash64("id"))).collect()}
+    assert kept >= set(range(0, 5000, 2)) and None not in kept and len(kept) < 2600
+    assert B.may_be_in(rows, B.key_filter(keys.limit(0), 0), F.xxhash64("id")).count() == 0
+
+
 @given(st.sets(st.integers(0, O.RANGE_BITS - 1), max_size=5000))
 @settings(max_examples=30, deadline=None)
 def test_bitmap_round_trip(bits):
