@@ -99,7 +99,7 @@ def p5_found(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def p5_paths(spark: SparkSession, sf_dir: str) -> DataFrame:
-    h = hierarchy.hierarchy(_part_of(spark, sf_dir), all_nodes=True)
+    h = hierarchy.paths(_part_of(spark, sf_dir), all_nodes=True)
     return h.select(
         F.col("group_id").alias("paper_id"),
         F.col("node").alias("unit_id"),

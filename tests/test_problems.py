@@ -213,20 +213,17 @@ def forests(draw):
 def test_peeling_against_brute_force(parent):
     import pandas as pd
 
-    links = pd.DataFrame({"group_id": "g", "child": [str(k) for k in parent], "parent": [str(v) for v in parent.values()]})
-    rows = H._node_rows(links).to_pylist()
+    numbered = H.Links(pd.DataFrame({"group_id": "g", "node": [str(k) for k in parent], "parent": [str(v) for v in parent.values()]}))
+    rows = [r for b in numbered.states() for r in b.to_pylist()]
     want = brute_tree({str(k): str(v) for k, v in parent.items()})
     assert {r["node"]: (r["root"], r["depth"]) for r in rows} == want
+    above = {r["node"]: r["above"] for b in numbered.lists() for r in b.to_pylist()}
+    pairs = {(p["ancestor"], p["descendant"]): p["distance"] for b in numbered.pairs() for p in b.to_pylist()}
+    assert pairs == {(a, n): k + 1 for n, up in above.items() for k, a in enumerate(up)}
     for r in rows:
-        assert len(r["path"]) == r["depth"] + 1
-        assert not r["path"] or (r["path"][0] == r["root"] and r["path"][-1] == r["node"])
-    pairs = {(p["ancestor"], p["descendant"]): p["distance"] for p in H._pair_rows(links).to_pylist()}
-    for r in rows:
-        for i, a in enumerate(r["path"][:-1]):
-            assert pairs[a, r["node"]] == r["depth"] - i
-    for r in rows:
-        if not r["on_cycle"]:
-            assert r["n_descendants"] == sum(a == r["node"] for a, _ in pairs)
+        if r["depth"] >= 0:
+            assert len(above[r["node"]]) == r["depth"] and [r["node"], *above[r["node"]]][-1] == r["root"]
+        assert r["n_descendants"] == sum(a == r["node"] for a, _ in pairs)
 
 
 def _random_edges(spark, seed=5, n=400):
@@ -238,20 +235,41 @@ def _random_edges(spark, seed=5, n=400):
     return spark.createDataFrame(rows + rows[:9], "group_id string, child string, parent string")
 
 
-def test_both_ways_give_the_same_rows(spark):
-    edges = _random_edges(spark)
+@pytest.mark.parametrize("seed", [5, 6])
+def test_rounds_of_joins_give_the_same_rows(spark, seed):
+    edges = _random_edges(spark, seed, 150)
     key = lambda r: str(r)
     cols = ["group_id", "node", "parent", "root", "depth", "path", "n_descendants", "on_cycle", "n_parents"]
-    a, b = (sorted(H.hierarchy(edges, k).select(*cols).collect(), key=key) for k in (100_000, 20))
-    assert a == b and len(a) > 400
-    p, q = (sorted(H.descendant_pairs(edges, k).collect(), key=key) for k in (100_000, 20))
+    a, b = (sorted(H.paths(edges, k).select(*cols).collect(), key=key) for k in (100_000, 8))
+    assert a == b and len(a) > 150
+    p, q = (sorted(H.descendant_pairs(edges, k).collect(), key=key) for k in (100_000, 8))
     assert p == q
 
 
+def test_chains_and_cycles_by_rounds(spark):
+    """A long chain, a ring with a tail, and a star are contracted in few rounds."""
+    n = 60
+    rows = [("chain", f"{i}", f"{i + 1}") for i in range(n)] + [("ring", f"{i}", f"{(i + 1) % 20}") for i in range(20)]
+    rows += [("ring", "a", "3"), ("ring", "b", "a"), ("ring", "c", "b")] + [("star", f"{i}", "hub") for i in range(50)]
+    df = spark.createDataFrame(rows, "group_id string, child string, parent string")
+    got = {(r.group_id, r.node): r for r in H.hierarchy(df, 3).collect()}
+    assert all((got["chain", f"{i}"].depth, got["chain", f"{i}"].root, got["chain", f"{i}"].n_descendants) == (n - i, f"{n}", i) for i in range(n + 1))
+    assert all((got["ring", f"{i}"].depth, got["ring", f"{i}"].on_cycle, got["ring", f"{i}"].n_descendants) == (-1, True, 3 if i == 3 else 0) for i in range(20))
+    assert [(got["ring", k].depth, got["ring", k].on_cycle, got["ring", k].n_descendants) for k in "abc"] == [(-1, False, 2), (-1, False, 1), (-1, False, 0)]
+    assert got["star", "hub"].n_descendants == 50 and got["star", "7"].depth == 1
+
+
+def test_a_deep_chain_and_a_wide_star(spark):
+    chain = spark.range(100_000).select(F.lit("c").alias("group_id"), F.col("id").cast("string").alias("child"), (F.col("id") + 1).cast("string").alias("parent"))
+    star = spark.range(1_000_000).select(F.lit("s").alias("group_id"), F.col("id").cast("string").alias("child"), F.lit("hub").alias("parent"))
+    got = H.hierarchy(chain.unionByName(star)).groupBy("group_id").agg(F.max("depth").alias("d"), F.countDistinct("root").alias("r"), F.count(F.lit(1)).alias("n"), F.max("n_descendants").alias("m"))
+    assert {tuple(r) for r in got.collect()} == {("c", 100_000, 1, 100_001, 100_000), ("s", 1, 1, 1_000_001, 1_000_000)}
+
+
 def test_hierarchy_edge_cases(spark):
     rows = [("g", "a", "b"), ("g", "a", "b"), ("g", "a", "c"), ("g", "s", "s"), (None, "x", "y"), ("g", None, "y"), ("h", "a", "b")]
     df = spark.createDataFrame(rows, "group_id string, child string, parent string").withColumn("depth", F.lit(9))
-    got = {(r.group_id, r.node): (r.root, r.depth, r.n_parents, r.on_cycle) for r in H.hierarchy(df).collect()}
+    got = {(r.group_id, r.node): (r.root, r.depth, r.n_parents, r.on_cycle) for r in H.paths(df).collect()}
     assert got == {("g", "a"): ("b", 1, 2, False), ("g", "b"): ("b", 0, 0, False), ("g", "s"): ("", -1, 1, True), ("h", "a"): ("b", 1, 1, False), ("h", "b"): ("b", 0, 0, False)}
     assert H.hierarchy(df.limit(0)).count() == 0 and H.descendant_pairs(df.limit(0)).count() == 0
 
