@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from itertools import chain
+import re
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -15,12 +15,22 @@ def slug(part: Column) -> Column:
     return F.regexp_replace(F.regexp_replace(F.lower(part), "[^a-z0-9_]+", "_"), "^_+|_+$", "")
 
 
+def _present_prefix(head: Column) -> Column:
+    """The present form of a retired prefix, any other prefix as it is."""
+    out = F.when(F.lit(False), head)
+    for retired, present in ID_ALIASES.items():
+        out = out.when(head == retired, F.lit(present))
+    return out.otherwise(head)
+
+
 def alias_prefix(id_: Column) -> Column:
     """A retired prefix before the first colon becomes its present form."""
-    aliases = F.create_map(*(F.lit(x) for x in chain.from_iterable(ID_ALIASES.items())))
     head = F.substring_index(id_, ":", 1)
-    renamed = F.element_at(aliases, head)
-    return F.when(id_.contains(":") & renamed.isNotNull(), F.concat(renamed, F.substr(id_, F.length(head) + 1))).otherwise(id_)
+    return F.when(id_.contains(":"), F.concat(_present_prefix(head), F.substr(id_, F.length(head) + 1))).otherwise(id_)
+
+
+#: Ids that are canonical as they stand, by far the most.
+_CANONICAL = rf"^(?!(?:{'|'.join(map(re.escape, ID_ALIASES))}):)[^:]*:[a-z0-9](?:[a-z0-9_]*[a-z0-9])?\z"
 
 
 def canonical(id_: Column) -> Column:
@@ -28,10 +38,10 @@ def canonical(id_: Column) -> Column:
 
     Where nothing of the part after the colon can be kept, it stays as written.
     """
-    aliased = alias_prefix(id_)
-    head = F.substring_index(aliased, ":", 1)
-    rest = F.substr(aliased, F.length(head) + 2)
-    return F.when(id_.contains(":"), F.concat(head, F.lit(":"), F.coalesce(F.nullif(slug(rest), F.lit("")), rest))).otherwise(id_)
+    head = F.substring_index(id_, ":", 1)
+    rest = F.substr(id_, F.length(head) + 2)
+    written = F.concat(_present_prefix(head), F.lit(":"), F.coalesce(F.nullif(slug(rest), F.lit("")), rest))
+    return F.when(~id_.contains(":") | id_.rlike(_CANONICAL), id_).otherwise(written)
 
 
 def is_blank(c: Column) -> Column:

@@ -396,3 +396,14 @@ def test_further_issues(spark):
     on_a = ["unit_missing", "variant_missing", "value_missing", "unknown_system", "system_type", "unknown_setup", "setup_section", "setup_type", "direction", "table_role", "edge_provenance"]
     want = {("bad", r, "mea:a") for r in on_a} | {("bad", "no_scores", "mea:none"), ("bad", "kind_missing", "con:c"), ("bad", "text_missing", "prb:p"), ("bad", "text_missing", "fnd:f"), ("bad", "table_marker", "§9")}
     assert got == want | {("bad", "ir_version", "section-ir-0.1"), ("none", "ir_version", None)}
+
+
+def test_canonical_ids_of_odd_spelling(spark):
+    from folioweave.functions import ids
+
+    want = {
+        "fnd:a_b": "fnd:a_b", "clm:a": "fnd:a", "set:": "exp:", "fnd:A b!": "fnd:a_b", "fnd:_a_": "fnd:a", "fnd:a\n": "fnd:a", "fnd:a\r": "fnd:a",
+        "no colon ": "no colon ", "x:y:z": "x:y_z", "fnd:__": "fnd:__", ":a": ":a", "": "", "met:met:A": "mea:met_a", "fnd:é": "fnd:é",
+    }
+    rows = spark.createDataFrame(list(want.items()), "a string, b string").select("a", "b", ids.canonical(F.col("a")).alias("c")).collect()
+    assert [(r.a, r.c) for r in rows] == [(r.a, r.b) for r in rows]
