@@ -17,6 +17,7 @@ def local_session(cores: str = "8", shuffle_partitions: int = 8, memory: str = "
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", memory)
+        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
         .getOrCreate()
     )
 
@@ -30,14 +31,18 @@ def _ensure_checkpoint_dir(spark: SparkSession) -> None:
     sc = spark.sparkContext
     if sc.getCheckpointDir():
         return
-    # A cluster names a shared folder; only without one (tests) a temporary folder is used.
-    sc.setCheckpointDir(sc.getConf().get("spark.checkpoint.dir") or tempfile.mkdtemp(prefix="folioweave-"))
+    shared = sc.getConf().get("spark.checkpoint.dir")
+    if not shared and not sc.master.startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+    # Only a local session may do without a shared folder.
+    sc.setCheckpointDir(shared or tempfile.mkdtemp(prefix="folioweave-"))
 
 
 def cut(df: DataFrame) -> DataFrame:
     """Materialise ``df`` reliably in the shared checkpoint folder and cut its lineage.
 
-    The files outlive executors, so later reads never depend on blocks of a lost one.
+    The files outlive executors, so later reads never depend on blocks of a lost one. Spark deletes them with their
+    DataFrame where ``spark.cleaner.referenceTracking.cleanCheckpoints`` is set.
     """
     _ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
