@@ -141,7 +141,7 @@ def _caption_words(caption: Column, quantity: Column) -> Column:
     low = F.lower(caption)
     for q, topic in CAPTION_TOPICS.items():
         units = _alias_pattern(q)
-        after = rf"(?:^|[^\p{{L}}0-9])(?:{topic})(?![\p{{L}}0-9])[^;,]{{0,40}}?[\s(\[]({units})(?![\p{{L}}0-9/])"
+        after = rf"(?:^|[^\p{{L}}0-9])(?:{topic})(?![\p{{L}}0-9])[^;,]*?[\s(\[]({units})(?![\p{{L}}0-9/])"
         found = F.nullif(F.regexp_extract(low, after, 1), F.lit(""))
         if q == "share":
             throughout = rf"(?:^|[\s(\[])({units})\s+throughout\b"

@@ -230,7 +230,7 @@ def _quantities_sql() -> str:
     cases = []
     for name, topic in q.CAPTION_TOPICS.items():
         units = q._alias_pattern(name)
-        after = rf"(?:^|[^\p{{L}}0-9])(?:{topic})(?:[^\p{{L}}0-9;,][^;,]{{0,39}}?)??[\s(\[]({units})(?:[^\p{{L}}0-9/]|$)"
+        after = rf"(?:^|[^\p{{L}}0-9])(?:{topic})(?:[^\p{{L}}0-9;,][^;,]*?)??[\s(\[]({units})(?:[^\p{{L}}0-9/]|$)"
         found = f"nullif(regexp_extract(cap, {lit(after)}, 1), '')"
         if name == "share":
             found = f"coalesce(nullif(regexp_extract(cap, {lit(rf'(?:^|[\s(\[])({units})\s+throughout\b')}, 1), ''), {found})"
