@@ -8,7 +8,7 @@ parent index of each child and keys follow by a vectorised ``take``. No row is v
 in Python.
 
 Defined results: a null, blank or incomplete payload and JSON that is no object has no
-rows; a repeated record (same key) gives one set of rows; extra input columns are
+rows; a repeated record (same key) gives the rows of the version received last; extra input columns are
 ignored; an empty table gives an empty table; texts of any length pass unchanged (one
 record must fit a task). Keys equal to ``record_no`` may be null: such rows are kept
 under the null key.
@@ -226,14 +226,21 @@ def _flattener(level: str) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.R
     return run
 
 
+def latest(df: DataFrame, key: str = "record_no", payload: str = "payload", order: str = "received_at") -> DataFrame:
+    """One row per record, the one received last (ties: the greatest payload); rows without a key stay one per payload."""
+    by = F.struct(order, payload) if order in df.columns else F.col(payload)
+    unkeyed = F.when(F.col(key).isNull(), F.xxhash64(payload))
+    return df.groupBy(key, unkeyed.alias("__unkeyed")).agg(F.max_by(payload, by).alias(payload)).drop("__unkeyed")
+
+
 def flatten_level(df: DataFrame, level: str, key: str = "record_no", payload: str = "payload", dedupe: bool = True) -> DataFrame:
     """One flat table of ``records``, ``sections``, ``units`` or ``scores``.
 
-    ``record_key`` and the ordinals above a row are its parent keys. ``key`` must be a
-    bigint. With ``dedupe`` a record that was loaded twice gives its rows once.
+    ``record_key`` and the ordinals above a row are its parent keys. ``key`` must be a bigint. With ``dedupe`` a
+    record that was loaded several times gives the rows of its last version; nothing is shuffled after that.
     """
-    out = canonical_records(df, key, payload).mapInArrow(_flattener(level), LEVELS[level])
-    return out.dropDuplicates() if dedupe else out
+    rows = latest(df, key, payload) if dedupe else df
+    return canonical_records(rows, key, payload).mapInArrow(_flattener(level), LEVELS[level])
 
 
 def flatten_records(df: DataFrame, key: str = "record_no", payload: str = "payload") -> dict[str, DataFrame]:

@@ -284,3 +284,20 @@ def test_parents_that_are_not_followed_stay_nodes(spark, tmp_path):
     for name in ("p5_found", "p5_paths"):
         got = [tuple(r) for r in problems.QUERIES[name](spark, str(tmp_path)).select("paper_id", "unit_id", "root_id", "depth").collect()]
         assert len(got) == len(want) and {r[:2]: r[2:] for r in got} == want
+
+
+def test_last_version_of_a_record(spark):
+    from datetime import datetime as T
+
+    old, new = '{"doc_id": "a", "sections": []}', '{"doc_id": "b", "sections": []}'
+    rows = [(1, old, T(2024, 1, 1)), (1, new, T(2024, 1, 2)), (1, new, T(2024, 1, 2)), (None, old, T(2024, 1, 1)), (None, new, T(2024, 1, 1)), (2, None, T(2024, 1, 1)), (2, old, None)]
+    df = spark.createDataFrame(rows, "record_no bigint, payload string, received_at timestamp")
+    got = sorted((str(r.record_key), r.doc_id) for r in N.flatten_level(df, "records").collect())
+    assert got in ([("1", "b"), ("2", "a"), ("None", "a"), ("None", "b")], [("1", "b"), ("None", "a"), ("None", "b")])
+
+
+def test_unit_far_from_its_topic_in_a_caption(spark):
+    refs = [spark.read.parquet(f"/root/testdata/sf0.001/{t}.parquet") for t in ("unit_refs", "metric_refs")]
+    cap = "Latency of all the systems measured over the held-out test split in ms"
+    df = spark.createDataFrame([(1, "12.5", "latency", "latency", cap, None)], "row_no bigint, value_raw string, metric string, metric_norm string, table_caption string, unit string")
+    assert [r.unit_code for r in Q.convert(df, *refs, ["row_no"]).collect()] == ["ms"]
