@@ -179,19 +179,19 @@ def convert(
     base = rows.select(*key, text(value).alias("__value"), text(metric).alias("__metric"), text(caption).alias("__caption"), text(unit).alias("__unit"), name.alias("__name"))
     known = metric_refs.where("quantity is not null").select(F.col("metric_norm").alias("__name"), "quantity").dropDuplicates(["__name"])
     base = base.withColumn("value", number(F.col("__value"))).where("value is not null").join(F.broadcast(known), "__name")
-    said = base.select(
-        *key,
-        "quantity",
-        "value",
-        _cleaned(F.regexp_extract("__value", _AFTER, 6)).alias("w_value"),
-        _cleaned(F.regexp_extract("__metric", _METRIC_TAIL, 1)).alias("w_metric"),
-        _caption_words(F.col("__caption"), F.col("quantity")).alias("w_caption"),
-        _cleaned(F.col("__unit")).alias("w_unit"),
-    )
+    # The nearest statement first; the next is only read where those before it state nothing.
+    words = {
+        "value": _cleaned(F.regexp_extract("__value", _AFTER, 6)),
+        "metric": _cleaned(F.regexp_extract("__metric", _METRIC_TAIL, 1)),
+        "caption": _caption_words(F.col("__caption"), F.col("quantity")),
+        "unit": _cleaned(F.col("__unit")),
+    }
     aliases = alias_table(spark)
-    for source in ("value", "metric", "caption", "unit"):
+    said, before = base, F.lit(True)
+    for source, w in words.items():
         a = aliases.select("quantity", F.col("alias").alias(f"w_{source}"), F.col("unit_code").alias(f"u_{source}"))
-        said = said.join(F.broadcast(a), ["quantity", f"w_{source}"], "left")
+        said = said.withColumn(f"w_{source}", F.when(before, w)).join(F.broadcast(a), ["quantity", f"w_{source}"], "left")
+        before = before & F.col(f"u_{source}").isNull()
     units = unit_refs.select("quantity", "unit_code", "factor", "shift", "is_common").dropDuplicates(["quantity", "unit_code"])
     common = units.where("is_common").select("quantity", F.col("unit_code").alias("common_unit")).dropDuplicates(["quantity"])
     said = said.join(F.broadcast(common), "quantity")
