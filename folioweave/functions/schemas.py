@@ -6,7 +6,7 @@ from pyspark.sql import types as T
 
 from folioweave.functions import vocab
 
-_ID = {"type": "string", "pattern": "^[a-z]+:[a-z0-9_]+$"}
+_ID = {"type": "string", "pattern": "^[a-z][a-z0-9_]*:[a-z0-9_]+$"}
 _TEXT = {"type": "string"}
 _TEXTS = {"type": "array", "items": _TEXT}
 

@@ -71,3 +71,29 @@ def matrix_rows() -> list[tuple[str, str, str]]:
 
 def section_unit_rows() -> list[tuple[str, str]]:
     return [(s, t) for s, types in SECTION_UNIT_TYPES.items() for t in types]
+
+
+# What records may hold beside the vocabularies above.
+UNIT_TYPES = ("Document", *ID_PREFIX)
+RETIRED_TYPES = (
+    "RoleBinding", "Relation", "MethodArtifact", "SystemModel", "Proposition", "Category", "Provenance", "Entity", "Setting", "Metric", "Claim", "Method",
+)
+TOP_KEYS = ("document", "sections", "relations", "extraction_notes")
+SECTION_KEYS = ("section_type", "anchor_id", "covers_entries", "units")
+NOTE_KEYS = ("ir_version", "sections_used", "uncertain_assignments", "skipped_spans", "input_mode", "uncovered_items", "plan_coverage")
+INPUT_MODE = "node_census_pipeline"
+FORMULA_ROLES = ("objective",)
+OBJECTIVE_CLASSES = ("primary_quality", "cost_efficiency", "fairness", "safety", "robustness")
+_ALGORITHM_KEYS = ("inputs", "outputs", "formulas", "implementation_notes", "cite_keys", "ref_ids", "provenance")
+UNIT_KEYS = {
+    "Document": ("id", "type", "doc_id", "title", "kind", "thesis", "headline_result", "provenance", "topics", "tasks", "domain"),
+    "Problem": ("id", "type", "description", "provenance"),
+    "Contribution": ("id", "type", "kind", "name", "method_kind", "description", *_ALGORITHM_KEYS),
+    "Component": ("id", "type", "name", "method_kind", "description", *_ALGORITHM_KEYS),
+    "ExperimentSetup": ("id", "type", "kind", "name", "description", "cite_keys", "ref_ids", "provenance"),
+    "Measure": (
+        "id", "type", "name", "unit", "scores", "setup_ids", "comparison_direction", "objective_class", "source_table_marker", "caption_marker",
+        "table_role", "headline_result", "finding_ids", "has_quantitative_payload", "provenance",
+    ),
+    "Finding": ("id", "type", "kind", "statement", "polarity", "effect_size", "scope", "provenance"),
+}

@@ -24,8 +24,10 @@ from pyspark.sql.window import Window
 
 from folioweave.functions import ids, vocab
 from folioweave.functions.scalar import MARKER_GRAMMAR, formula_key, mapped, normalize_name, parse_value_num, strip, truthy
+from folioweave.session import cut
 
 KEY = ["paper_id", "id"]
+ID_FORMAT = r"^[a-z][a-z0-9_]*:[a-z0-9_]+\z"
 
 
 def relation_matrix(spark: SparkSession) -> DataFrame:
@@ -48,6 +50,16 @@ def valid_kind(type_: Column, kind: Column) -> Column:
     return F.coalesce(out, F.lit(False))
 
 
+def mapped_lists(c: Column, values: dict[str, tuple[str, ...]]) -> Column:
+    """The list of words that belongs to a word, or null."""
+    return F.element_at(F.create_map(*(x for k, v in values.items() for x in (F.lit(k), F.array(*map(F.lit, v))))), c)
+
+
+def allowed_in(section: Column, type_: Column) -> Column:
+    """Whether a section may hold a type; false where either is unknown."""
+    return F.coalesce(F.array_contains(mapped_lists(section, vocab.SECTION_UNIT_TYPES), type_), F.lit(False))
+
+
 def stamp_kinds(units: DataFrame, nodes: DataFrame) -> DataFrame:
     """The node's kind where it is valid for the unit's type; the last node of an id counts."""
     last = nodes.groupBy(*KEY).agg(F.max_by("kind", "ord").alias("node_kind"))
@@ -55,24 +67,25 @@ def stamp_kinds(units: DataFrame, nodes: DataFrame) -> DataFrame:
     return units.join(last, KEY, "left").withColumn("kind", kind).drop("node_kind")
 
 
-def suffix_duplicates(rows: DataFrame, order: str = "ord") -> DataFrame:
-    """Later rows of an id get the first free of ``_2, _3, ...``, in order of ``ord``.
+def suffix_duplicates(rows: DataFrame, order: str = "ord", group: str = "paper_id") -> DataFrame:
+    """Later rows of an id get the first free of ``_2, _3, ...``, in order of ``ord``. Adds ``new_id``.
 
-    Only ids of one family (an id without its number suffixes) can collide; a family is folded
-    in order, so a suffix taken early moves a later original of that name on. Adds ``new_id``.
+    Every row proposes a name, the r-th row of an id its r-th; of the rows that propose one name the earliest keeps it and
+    the others propose their next. Names prefer earlier rows, so the rounds end where serving one row after the other ends. Rounds
+    beyond the first are as many as the longest chain of ids that look like suffixed ones.
     """
-    family = F.regexp_replace("id", r"(_[0-9]+)+$", "")
-    g = rows.withColumn("family", family).groupBy("paper_id", "family").agg(F.array_sort(F.collect_list(F.struct(order, "id"))).alias("members"))
-
-    def step(state: Column, m: Column) -> Column:
-        used = state["used"]
-        tries = F.transform(F.sequence(F.lit(2), F.size(used) + 2), lambda k: F.concat(m["id"], F.lit("_"), k.cast("string")))
-        free = F.get(F.filter(tries, lambda t: ~F.array_contains(used, t)), F.lit(0))
-        new = F.when(F.array_contains(used, m["id"]), free).otherwise(m["id"])
-        return F.struct(F.concat(used, F.array(new)).alias("used"), F.concat(state["out"], F.array(F.struct(m[order].alias(order), m["id"].alias("id"), new.alias("new_id")))).alias("out"))
-
-    start = F.struct(F.array().cast("array<string>").alias("used"), F.slice(F.transform("members", lambda m: F.struct(m[order].alias(order), m["id"].alias("id"), m["id"].alias("new_id"))), 1, 0).alias("out"))
-    return g.select("paper_id", F.explode(F.aggregate("members", start, step)["out"]).alias("m")).select("paper_id", f"m.{order}", "m.id", "m.new_id")
+    ranked = rows.select(group, F.col(order).alias("o"), "id", F.row_number().over(Window.partitionBy(group, "id").orderBy(order)).alias("k"))
+    state = cut(ranked)
+    while True:
+        state = state.withColumn("new_id", F.when(F.col("k") == 1, F.col("id")).otherwise(F.concat("id", F.lit("_"), F.col("k").cast("string"))))
+        met = state.groupBy(group, "new_id").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("o", "id")).alias("first")).where("n > 1")
+        met = cut(met.select(group, "new_id", F.col("first.o").alias("o"), F.col("first.id").alias("id"), F.lit(True).alias("wins")))
+        if met.isEmpty():
+            return state.select(group, F.col("o").alias(order), "id", "new_id")
+        asked = met.select(group, "new_id", F.lit(True).alias("asked"))
+        wins = met.select(group, "new_id", "o", "id", "wins")
+        lost = F.col("asked") & F.col("wins").isNull()
+        state = cut(state.join(asked, [group, "new_id"], "left").join(wins, [group, "new_id", "o", "id"], "left").select(group, "o", "id", (F.col("k") + F.coalesce(lost.cast("int"), F.lit(0))).alias("k")))
 
 
 def clean_ids(raw: DataFrame) -> DataFrame:
@@ -105,8 +118,8 @@ def eval_frames(units: DataFrame, nodes: DataFrame) -> DataFrame:
     setups = setups.groupBy("paper_id", "norm").agg(F.min_by("id", "ord").alias("new_id"))
     bare = units.where((F.col("type") == "Contribution") & F.col("kind").isin("dataset", "benchmark") & ~truthy(strip(F.col("description"))))
     norm = normalize_name(F.col("name"))
-    cut = F.regexp_replace(norm, rf"( ?\b(?:{'|'.join(vocab.EVAL_FRAME_WORDS)}))+$", "")
-    named = bare.select("paper_id", F.col("id").alias("old_id"), F.posexplode(F.array(norm, cut)).alias("pos", "norm"))
+    bare_norm = F.regexp_replace(norm, rf"( ?\b(?:{'|'.join(vocab.EVAL_FRAME_WORDS)}))+$", "")
+    named = bare.select("paper_id", F.col("id").alias("old_id"), F.posexplode(F.array(norm, bare_norm)).alias("pos", "norm"))
     hit = named.join(setups, ["paper_id", "norm"]).groupBy("paper_id", "old_id").agg(F.min_by("new_id", "pos").alias("new_id"))
     return hit.where("old_id <> new_id")
 
@@ -141,10 +154,11 @@ def dangling_markers(rows: DataFrame, tables: DataFrame) -> DataFrame:
     return rows.join(known, ["paper_id", "marker"], "left").withColumn("marker", marker).drop("known")
 
 
-def empty_measures(units: DataFrame, scores: DataFrame) -> DataFrame:
-    """Measures that no score row names (their marker is taken as absent)."""
+def empty_measures(units: DataFrame, scores: DataFrame, marked: DataFrame | None = None) -> DataFrame:
+    """Measures that no score row names and that are not among ``marked`` (paper_id, id), those with a table marker."""
     scored = scores.select("paper_id", F.col("measure_id").alias("id")).dropDuplicates()
-    return units.where("type = 'Measure'").join(scored, KEY, "left_anti")
+    out = units.where("type = 'Measure'").join(scored, KEY, "left_anti")
+    return out if marked is None else out.join(marked.select(*KEY).dropDuplicates(), KEY, "left_anti")
 
 
 def duplicate_scores(scores: DataFrame) -> DataFrame:
@@ -274,12 +288,14 @@ def missing_evaluates(units: DataFrame, edges: DataFrame, scores: DataFrame) ->
     return g.where("n = 1 or c = 1").select("paper_id", F.col("id").alias("source_id"), F.when(F.col("n") == 1, F.col("any")).otherwise(F.col("root")).alias("target_id"))
 
 
-def mounted_findings(edges: DataFrame, units: DataFrame) -> DataFrame:
-    """(paper_id, measure_id, finding_id) carried by Measure-supports-Finding and Finding-about-Measure edges."""
+def mounted_findings(edges: DataFrame, units: DataFrame, ordered: bool = False) -> DataFrame:
+    """(paper_id, measure_id, finding_id) carried by Measure-supports-Finding and Finding-about-Measure edges; with
+    ``ordered`` one row per edge with its ``ord``."""
     t = _typed(edges, units)
-    a = t.where("relation = 'supports' and source_type = 'Measure' and target_type = 'Finding'").select("paper_id", F.col("source_id").alias("measure_id"), F.col("target_id").alias("finding_id"))
-    b = t.where("relation = 'about' and source_type = 'Finding' and target_type = 'Measure'").select("paper_id", F.col("target_id").alias("measure_id"), F.col("source_id").alias("finding_id"))
-    return a.unionByName(b).dropDuplicates()
+    a = t.where("relation = 'supports' and source_type = 'Measure' and target_type = 'Finding'").select("paper_id", F.col("source_id").alias("measure_id"), F.col("target_id").alias("finding_id"), "ord")
+    b = t.where("relation = 'about' and source_type = 'Finding' and target_type = 'Measure'").select("paper_id", F.col("target_id").alias("measure_id"), F.col("source_id").alias("finding_id"), "ord")
+    both = a.unionByName(b)
+    return both if ordered else both.drop("ord").dropDuplicates()
 
 
 def covers(units: DataFrame, nodes: DataFrame) -> DataFrame:
@@ -295,10 +311,12 @@ def coverage(units: DataFrame, nodes: DataFrame) -> DataFrame:
 
 
 def document_kind(units: DataFrame, roots: DataFrame) -> DataFrame:
-    """The document kind from the first materialised root of a paper."""
-    first = units.join(roots.select(*KEY).dropDuplicates(), KEY, "left_semi").groupBy("paper_id").agg(F.min_by(F.struct("type", "kind"), "ord").alias("u"))
+    """The document kind from the first materialised root of a paper: data make a survey of benchmarks, a taxonomy as
+    the ``method_kind`` of the method family a review."""
+    first = units.join(roots.select(*KEY).dropDuplicates(), KEY, "left_semi").groupBy("paper_id").agg(F.min_by(F.struct("type", "kind", "method_kind"), "ord").alias("u"))
     is_data = (F.col("u.type") == "Contribution") & F.col("u.kind").isin("dataset", "benchmark")
-    return first.select("paper_id", F.when(is_data, "benchmark_survey").when(F.col("u.kind") == "taxonomy", "review").otherwise("research_article").alias("document_kind"))
+    is_review = F.col("u.type").isin(*vocab.METHOD_FAMILY) & (F.col("u.method_kind") == "taxonomy")
+    return first.select("paper_id", F.when(is_data, "benchmark_survey").when(is_review, "review").otherwise("research_article").alias("document_kind"))
 
 
 def provenance_rate(edges: DataFrame, blocks: DataFrame) -> DataFrame:
@@ -310,10 +328,15 @@ def provenance_rate(edges: DataFrame, blocks: DataFrame) -> DataFrame:
 
 
 def score_numbers(scores: DataFrame) -> DataFrame:
-    """value_num of every score, and whether its Measure has a quantitative payload."""
+    """value_num of every score."""
     return scores.withColumn("value_num", parse_value_num(F.col("value")))
 
 
+def has_payload(units: DataFrame) -> DataFrame:
+    """Measures with a score row (``n_scores``) or a filled headline have a quantitative payload; null for other types."""
+    return units.withColumn("has_quantitative_payload", F.when(F.col("type") == "Measure", (F.col("n_scores") > 0) | truthy(strip(F.col("headline_result")))))
+
+
 def nonempty_sections(sections: DataFrame, units: DataFrame) -> DataFrame:
     """R34."""
     return sections.join(units.select("paper_id", "section").dropDuplicates(), ["paper_id", "section"], "left_semi")
@@ -321,7 +344,7 @@ def nonempty_sections(sections: DataFrame, units: DataFrame) -> DataFrame:
 
 def order_edges(stage_edges: DataFrame, section_edges: DataFrame) -> DataFrame:
     """R2: both sources of edges with one order: those of the relation stage first, then those of the sections."""
-    tag = lambda df, k: df.withColumn("ord", F.struct(F.lit(k).alias("source"), F.col("ord").cast("string").alias("at")))
+    tag = lambda df, k: df.withColumn("ord", F.struct(F.lit(k).alias("source"), F.col("ord").alias("at")))
     return tag(stage_edges, 0).unionByName(tag(section_edges, 1))
 
 
@@ -342,7 +365,7 @@ def reprefix(nodes: DataFrame) -> DataFrame:
     """Ids rebuilt from type and slug where that makes a well-formed id."""
     rest = F.when(F.col("id").contains(":"), F.substr("id", F.length(F.substring_index("id", ":", 1)) + 2)).otherwise(F.col("id"))
     made = F.concat(mapped(F.col("type"), vocab.ID_PREFIX), F.lit(":"), ids.slug(rest))
-    return nodes.withColumn("id", F.when(made.rlike("^[a-z]+:[a-z0-9_]+$"), made).otherwise(F.col("id")))
+    return nodes.withColumn("id", F.when(made.rlike(ID_FORMAT), made).otherwise(F.col("id")))
 
 
 def node_registry(nodes: DataFrame) -> DataFrame:
@@ -353,8 +376,6 @@ def node_registry(nodes: DataFrame) -> DataFrame:
 
 def undirected_closure(roots: DataFrame, links: DataFrame, rounds: int | None = None) -> DataFrame:
     """G1: (paper_id, id) reached from the roots over undirected links, by semi-naive rounds until nothing is new."""
-    from folioweave.session import cut
-
     both = links.select("paper_id", F.col("source_id").alias("a"), F.col("target_id").alias("b")).where("a is not null and b is not null")
     both = cut(both.unionByName(both.select("paper_id", F.col("b").alias("a"), F.col("a").alias("b"))).dropDuplicates())
     reached = cut(roots.select(*KEY).dropDuplicates())
@@ -368,10 +389,11 @@ def undirected_closure(roots: DataFrame, links: DataFrame, rounds: int | None =
     return reached
 
 
-def resolves(units: DataFrame, edges: DataFrame, roots: DataFrame, headlines: DataFrame) -> DataFrame:
+def resolves(units: DataFrame, edges: DataFrame, roots: DataFrame, headlines: DataFrame, problem_anchors: DataFrame | None = None) -> DataFrame:
     """(paper_id, source_id, target_id): the Finding that closes each root's arc and the paper's Problem.
 
-    The Problem is the first that motivates a root, else the paper's only one. Of the Findings about a root the
+    The Problem is the first that motivates a root, else the anchor (paper_id, anchor_id) of the problem section where it is
+    a Problem, else the paper's only one. Of the Findings about a root the
     one that shares most long words with the headline wins, ties by ``ord``; a Finding resolves once.
     """
     from folioweave.functions.scalar import headline_overlap
@@ -381,6 +403,10 @@ def resolves(units: DataFrame, edges: DataFrame, roots: DataFrame, headlines: Da
     to_root = closed.select("paper_id", F.col("id").alias("target_id"))
     first = t.where("relation = 'motivates' and source_type = 'Problem'").join(to_root, ["paper_id", "target_id"], "left_semi").groupBy("paper_id").agg(F.min_by("source_id", "ord").alias("m"))
     sole = units.where("type = 'Problem'").groupBy("paper_id").agg(F.countDistinct("id").alias("n"), F.min("id").alias("one"))
+    if problem_anchors is not None:
+        problems = units.where("type = 'Problem'").select("paper_id", F.col("id").alias("anchor_id")).dropDuplicates()
+        held = problem_anchors.join(problems, ["paper_id", "anchor_id"], "left_semi").groupBy("paper_id").agg(F.min("anchor_id").alias("held"))
+        first = first.join(held, "paper_id", "full").select("paper_id", F.coalesce("m", "held").alias("m"))
     problem = first.join(sole, "paper_id", "full").select("paper_id", F.coalesce("m", F.when(F.col("n") == 1, F.col("one"))).alias("problem_id")).where("problem_id is not null")
     texts = units.groupBy(*KEY).agg(F.min_by(F.coalesce("description", F.lit("")), "ord").alias("text"))
     about = t.where("relation = 'about' and source_type = 'Finding'").join(to_root, ["paper_id", "target_id"], "left_semi")
@@ -411,12 +437,16 @@ def display_roles(units: DataFrame, edges: DataFrame) -> DataFrame:
 
 
 def discovery_arc(units: DataFrame, edges: DataFrame) -> DataFrame:
-    """(paper_id, problem_id, root_id, finding_id): the first motivates edge, and the first resolves else about edge."""
-    t = _typed(edges, units)
-    start = t.where("relation = 'motivates' and source_type = 'Problem'").groupBy("paper_id").agg(F.min_by(F.struct("source_id", "target_id"), "ord").alias("m"))
-    by = F.struct(F.col("relation") != "resolves", "ord")
-    end = t.where("relation in ('resolves', 'about') and source_type = 'Finding'").groupBy("paper_id").agg(F.min_by("source_id", by).alias("finding_id"))
-    return start.join(end, "paper_id", "left").select("paper_id", F.col("m.source_id").alias("problem_id"), F.col("m.target_id").alias("root_id"), "finding_id")
+    """(paper_id, problem_id, root_id, finding_id): the first Problem of the problem section, else the target of the first
+    resolves edge; the first Contribution; the source of the first resolves edge, else the first Finding about that Contribution."""
+    problem = units.where("type = 'Problem' and section = 'problem'").groupBy("paper_id").agg(F.min_by("id", "ord").alias("p"))
+    root = units.where("type = 'Contribution'").groupBy("paper_id").agg(F.min_by("id", "ord").alias("root_id"))
+    end = edges.where("relation = 'resolves'").groupBy("paper_id").agg(F.min_by(F.struct("source_id", "target_id"), "ord").alias("r"))
+    findings = units.where("type = 'Finding'").select("paper_id", F.col("id").alias("source_id")).dropDuplicates()
+    about = edges.where("relation = 'about'").join(root.withColumnRenamed("root_id", "target_id"), ["paper_id", "target_id"], "left_semi").join(findings, ["paper_id", "source_id"], "left_semi")
+    about = about.groupBy("paper_id").agg(F.min_by("source_id", "ord").alias("a"))
+    j = problem.join(root, "paper_id", "full").join(end, "paper_id", "left").join(about, "paper_id", "left")
+    return j.select("paper_id", F.coalesce("p", "r.target_id").alias("problem_id"), "root_id", F.coalesce("r.source_id", "a").alias("finding_id"))
 
 
 def unit_sections(units: DataFrame) -> DataFrame:
@@ -427,9 +457,8 @@ def unit_sections(units: DataFrame) -> DataFrame:
 def issues(units: DataFrame, edges: DataFrame, nodes: DataFrame) -> DataFrame:
     """(paper_id, rule, subject) of the violations of V2, V3, V5, V6, V7 and V10 that the SQL of v_issues holds; the other
     ones are in ``further_issues``, and only a paper without rows in both is valid (V11)."""
-    id_rx = "^[a-z]+:[a-z0-9_]+$"
     u = units.withColumn("rule", F.explode(F.array_compact(F.array(
-        F.when(~F.coalesce(F.col("id").rlike(id_rx), F.lit(False)), "id_format"),
+        F.when(~F.coalesce(F.col("id").rlike(ID_FORMAT), F.lit(False)), "id_format"),
         F.when(~F.coalesce(F.col("type").isin(*vocab.ID_PREFIX), F.lit(False)), "unknown_type"),
         F.when(prefix_type(F.col("id")) != F.col("type"), "prefix"),
         F.when(F.col("kind").isNotNull() & ~valid_kind(F.col("type"), F.col("kind")), "kind"),

@@ -109,7 +109,43 @@ def _score(s: Column) -> Column:
     )
 
 
-def _unit(entry: Column) -> Column:
+def _texts(v: Column) -> Column:
+    """The texts of a list, one text as a list of one, null where there is neither."""
+    return _let(v, lambda x: F.coalesce(F.transform(_list_of(x), lambda e: e.cast("string")), F.when(x.isNotNull() & ~_is_object(x), F.array_compact(F.array(x.cast("string"))))))
+
+
+def _names(v: Column) -> Column:
+    """The keys of an object in order; empty for anything else."""
+    return F.coalesce(F.array_sort(F.map_keys(_map_of(v))), F.array().cast("array<string>"))
+
+
+#: Text fields of units, section and document that only the whole graph needs.
+UNIT_TEXTS = ("method_kind", "polarity", "objective_class", "caption_marker", "table_role", "headline_result")
+SCORE_TEXTS = ("value_kind", "opponent_id", "judge_id")
+FORMULA_TEXTS = ("name", "expression", "role", "description")
+
+
+def _listed(v: Column) -> Column:
+    return _list_of(v).isNotNull()
+
+
+def _edge(e: Column) -> Column:
+    return F.struct(*(_text(e, k).alias(k) for k in ("source_id", "relation", "target_id")), _texts(_get(e, "provenance")).alias("provenance"), _listed(_get(e, "provenance")).alias("provenance_listed"))
+
+
+def _edges(v: Column) -> Column:
+    return F.transform(_objects(_let(_decoded(v), lambda x: F.coalesce(_list_of(x), _no_variants()))), _edge)
+
+
+def _more_of_unit(u: Column) -> list[Column]:
+    """The fields of a unit that only the whole graph needs."""
+    formulas = F.transform(_objects(_as_list(_decoded(_get(u, "formulas")))), lambda f: F.struct(*(_text(f, k).alias(k) for k in FORMULA_TEXTS)))
+    lists = [x for k in ("provenance", "setup_ids", "finding_ids", "cite_keys") for x in (_texts(_get(u, k)).alias(k), _listed(_get(u, k)).alias(f"{k}_listed"))]
+    extra = F.transform(_objects(_let(_decoded(_get(u, "scores")), _as_list)), lambda s: F.struct(*(_text(s, k).alias(k) for k in SCORE_TEXTS), _names(s).alias("keys")))
+    return [*(_text(u, k).alias(k) for k in UNIT_TEXTS), *lists, formulas.alias("formulas"), extra.alias("more_of_scores"), _names(u).alias("keys"), _listed(_get(u, "scores")).alias("scores_listed")]
+
+
+def _unit(entry: Column, full: bool = False) -> Column:
     """The unit of an entry struct<v, t> with the type t where it has none of its own."""
     u = entry["v"]
     return F.struct(
@@ -117,10 +153,11 @@ def _unit(entry: Column) -> Column:
         F.coalesce(_text(u, "type"), entry["t"]).alias("type"),
         *(_text(u, k).alias(k) for k in ("kind", "name", "description", "statement", "unit", "comparison_direction", "source_table_marker")),
         F.transform(_let(_decoded(_get(u, "scores")), _as_list), _score).alias("scores"),
+        *([*_more_of_unit(u), entry["t"].alias("array_type")] if full else []),
     )
 
 
-def _section(s: Column) -> Column:
+def _section(s: Column, full: bool = False) -> Column:
     """A section with its units: those of the unit list, then those of the typed arrays, each read once."""
     arrays = F.array(*(F.struct(_get(s, key).alias("a"), F.lit(kind).cast("string").alias("t")) for key, kind in (("units", None), *TYPED_ARRAY_KEYS.items())))
     filled = F.filter(arrays, lambda x: x["a"].isNotNull())
@@ -128,12 +165,14 @@ def _section(s: Column) -> Column:
     return F.struct(
         _text(s, "section_type").alias("section_type"),
         _text(s, "anchor_id").alias("anchor_id"),
-        F.transform(F.filter(entries, lambda x: _is_object(x["v"])), _unit).alias("units"),
+        F.transform(F.filter(entries, lambda x: _is_object(x["v"])), lambda x: _unit(x, full)).alias("units"),
+        *([_texts(_get(s, "covers_entries")).alias("covers"), _listed(_get(s, "covers_entries")).alias("covers_listed"), _names(s).alias("keys"), _edges(_get(s, "relations")).alias("edges")] if full else []),
     )
 
 
-def canonical_records(df: DataFrame, key: str = "record_no", payload: str = "payload") -> DataFrame:
-    """``key`` and ``records``: array<struct<doc_id, title, sections: array<...>>> of each row."""
+def canonical_records(df: DataFrame, key: str = "record_no", payload: str = "payload", full: bool = False) -> DataFrame:
+    """``key`` and ``records``: array<struct<doc_id, title, sections: array<...>>> of each row; ``full`` adds what the whole
+    graph needs: provenance, lists of references, formulas, the relations, the notes and the keys of every object."""
     docs = df.select(F.col(key).alias("__key"), _decoded(_parse(F.col(payload))).alias("v")).where(F.col("v").isNotNull())
     # A wrapper may hold text, a list or another wrapper.
     docs = docs.select("__key", _unwrapped(_unwrapped(_as_list(F.col("v")))).alias("a"))
@@ -152,10 +191,21 @@ def canonical_records(df: DataFrame, key: str = "record_no", payload: str = "pay
             F.coalesce(_get(_get(d, "document"), "doc_id", "string"), _text(d, "doc_id")).alias("doc_id"),
             _get(_get(d, "document"), "title", "string").alias("title"),
             F.filter(
-                F.transform(every, _section), lambda s: s["section_type"].isNotNull() | s["anchor_id"].isNotNull() | (F.size(s["units"]) > 0)
+                F.transform(every, lambda x: _section(x, full)), lambda s: s["section_type"].isNotNull() | s["anchor_id"].isNotNull() | (F.size(s["units"]) > 0)
             ).alias("sections"),
+            *(whole(d) if full else []),
         )
 
+    def whole(d: Column) -> list[Column]:
+        document, notes = _get(d, "document"), _get(d, "extraction_notes")
+        return [
+            _names(d).alias("keys"), _names(document).alias("document_keys"), _names(notes).alias("notes_keys"), _edges(_get(d, "relations")).alias("edges"),
+            *(_text(document, k).alias(f"document_{k}") for k in ("id", "type", "kind", "ir_version")),
+            *(_text(notes, k).alias(f"notes_{k}") for k in ("ir_version", "input_mode")),
+            _texts(_get(notes, "sections_used")).alias("sections_used"), _names(_get(notes, "source_tables")).alias("source_tables"),
+            _listed(_get(d, "relations")).alias("edges_listed"), _listed(_get(d, "sections")).alias("sections_listed"),
+        ]
+
     return docs.select(F.col("__key"), F.transform(F.col("a"), record).alias("records"))
 
 

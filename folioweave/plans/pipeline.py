@@ -1,64 +1,11 @@
-"""The assembly as one run (R33), the replay of stored stages (X6) and the retrofit of a corpus."""
+"""The retrofit of a corpus (K6, K10) and its legacy marks."""
 
 from __future__ import annotations
 
-from dataclasses import dataclass
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from folioweave.functions import vocab
-from folioweave.operators import assemble as A
-from folioweave.session import cut
-
-
-@dataclass
-class Graph:
-    """The tables of an assembled corpus."""
-
-    units: DataFrame
-    edges: DataFrame
-    scores: DataFrame
-    anchors: DataFrame
-    coverage: DataFrame
-    issues: DataFrame
-
-
-def assemble(units: DataFrame, nodes: DataFrame, edges: DataFrame, scores: DataFrame, headlines: DataFrame) -> Graph:
-    """Units, edges and scores through the repair steps in their order.
-
-    All remaps of ids are small tables that are applied once; the lineage is cut after the units, after the edges and
-    before the issues, as thirty steps in one plan would grow beyond what the optimizer can handle.
-    """
-    units = A.stamp_kinds(units, nodes)
-    units = A.owned(A.misrouted(units, nodes))
-    frames = A.eval_frames(units, nodes)
-    units = units.join(frames.select("paper_id", F.col("old_id").alias("id")), A.KEY, "left_anti")
-    duplicates = A.duplicate_setups(units, nodes)
-    units = units.join(duplicates.select("paper_id", F.col("old_id").alias("id")), A.KEY, "left_anti")
-    units = cut(A.repair_kinds(A.first_units(units)).drop("method_kind", "polarity"))
-    remap = cut(frames.unionByName(duplicates))
-    edges = A.anchored_edges(A.first_edges(A.rewrite_edges(edges, remap)), units)
-    edges = cut(A.edge_faults(edges, units).where("fault is null").drop("fault"))
-    moved = scores.join(remap.select("paper_id", F.col("old_id").alias("setup_id"), F.col("new_id").alias("__to")), ["paper_id", "setup_id"], "left")
-    scores = A.repair_score_refs(moved.withColumn("setup_id", F.coalesce("__to", "setup_id")).select(*scores.columns), units)
-    scores = cut(A.score_numbers(scores))
-    derived = A.missing_evaluates(units, edges, scores).withColumn("relation", F.lit("evaluates"))
-    closing = A.resolves(units, edges, nodes.where("type = 'Contribution'"), headlines).withColumn("relation", F.lit("resolves"))
-    more = derived.unionByName(closing)
-    last = F.lit(2**62).cast(dict(edges.dtypes)["ord"])
-    edges = cut(A.first_edges(edges.unionByName(more.withColumn("ord", last), allowMissingColumns=True)))
-    return Graph(units, edges, scores, A.anchors(units), A.coverage(units, nodes), cut(A.issues(units, edges, nodes)))
-
-
-def replay(stored: Graph, fresh: Graph) -> DataFrame:
-    """Per paper the differences of units, edges and issues between two assemblies."""
-    count = lambda g, t: getattr(g, t).groupBy("paper_id").agg(F.count(F.lit(1)).alias(t))
-    out = None
-    for t in ("units", "edges", "issues"):
-        j = count(stored, t).withColumnRenamed(t, "b").join(count(fresh, t), "paper_id", "full").select("paper_id", (F.coalesce(t, F.lit(0)) - F.coalesce("b", F.lit(0))).alias(f"d_{t}"))
-        out = j if out is None else out.join(j, "paper_id", "full")
-    return out.fillna(0)
 
 
 def gated(records: DataFrame, accepted: tuple[str, ...] = vocab.ACCEPTED_VERSIONS) -> DataFrame:
@@ -74,7 +21,9 @@ def restamped(records: DataFrame, changed: DataFrame, version: str, old: tuple[s
 
 
 def legacy_marks(payload):
-    """Whether a record holds a ``paradigm_tags`` key or a unit of a retired type, at any depth."""
-    retired = "RoleBinding|Relation|MethodArtifact|SystemModel|Proposition|Category|Provenance|Entity|Setting|Metric|Claim|Method"
+    """Whether a record holds a ``paradigm_tags`` key, or a retired type under ``type``, ``unit_type`` or ``node_type``, at
+    any depth. The payload is parsed and written again, so that every text in it is escaped: a key or value that only
+    stands inside a text has a backslash before its quotation marks."""
     flat = F.try_parse_json(payload).cast("string")
-    return F.coalesce(flat.rlike(rf'"paradigm_tags":|"type":"(?:{retired})"'), F.lit(False))
+    retired = "|".join(vocab.RETIRED_TYPES)
+    return F.coalesce(flat.rlike(rf'(?<!\\)"paradigm_tags":|(?<!\\)"(?:type|unit_type|node_type)":"(?:{retired})"'), F.lit(False))

@@ -58,16 +58,21 @@ def r16(s, d):
     return A.backfill_provenance(u).select("paper_id", "id", F.array_join("provenance", ",").alias("markers"))
 
 
-def r20(s, d):
-    f = table(s, d, "graph_units").where("op = 'upsert'").select(
-        "paper_id", C("type").alias("id"), C("description").alias("expression"), "name", C("kind").alias("role"), C("section").alias("description"), F.struct("changed_at", "unit_id").alias("ord")
-    )
-    return A.clean_formulas(f).select("paper_id", "id", "expression", "name", "role")
+def r23(units, nodes, edges, scores):
+    """About edges that point to the first Measure of their paper, every other one turned into a support."""
+    first = units.where("type = 'Measure'").groupBy("paper_id").agg(F.min("id").alias("m"))
+    about = edges.where("relation = 'about'").join(first, "paper_id")
+    turned = C("ord") % 2 == 0
+    return A.mounted_findings(about.select(
+        "paper_id", F.when(turned, C("m")).otherwise(C("source_id")).alias("source_id"), F.when(turned, "supports").otherwise("about").alias("relation"),
+        F.when(turned, C("source_id")).otherwise(C("m")).alias("target_id"), "ord",
+    ), units)
 
 
 def r24(units, nodes, edges, scores):
     heads = units.where("type = 'Contribution'").groupBy("paper_id").agg(F.min_by("description", "ord").alias("headline"))
-    return A.resolves(units, edges, nodes.where("type = 'Contribution'"), heads)
+    anchors = A.anchors(units).where("section = 'problem'").select("paper_id", "anchor_id")
+    return A.resolves(units, edges, nodes.where("type = 'Contribution'"), heads, anchors)
 
 
 def r29(s, d):
@@ -105,27 +110,26 @@ QUERIES = {
     "r5_clean_ids": r5,
     "r6_misrouted": _ctx(lambda u, n, e, s: A.misrouted(u, n).groupBy("paper_id", "type").agg(_n())),
     "r7_owned": _ctx(lambda u, n, e, s: A.owned(u).select("paper_id", "id")),
-    "r8_eval_frames": _ctx(lambda u, n, e, s: A.eval_frames(u.withColumn("description", F.lit(None).cast("string")), n.withColumn("type", F.when(C("kind").isin("dataset", "benchmark"), "ExperimentSetup").otherwise(C("type"))))),
+    "r8_eval_frames": _ctx(lambda u, n, e, s: A.eval_frames(u.withColumn("description", F.lit(None).cast("string")), n.withColumn("type", F.when(C("kind").isin("dataset", "benchmark"), "ExperimentSetup").otherwise(C("type"))).withColumn("id", F.regexp_replace("id", "^con:", "exp:")))),
     "r9_dedup_setups": _ctx(lambda u, n, e, s: A.duplicate_setups(u.withColumn("name", C("kind")), n.where("type <> 'ExperimentSetup'"))),
     "r10_rewrite": _ctx(lambda u, n, e, s: A.rewrite_edges(e, A.duplicate_setups(u.withColumn("name", C("kind")), n.where("type <> 'ExperimentSetup'"))).select("paper_id", C("ord").alias("relation_no"), "source_id", "target_id")),
     "r11_first_units": lambda s, d: A.first_units(table(s, d, "graph_units").where("op = 'upsert'").select("paper_id", C("unit_id").alias("id"), "section", "type", "kind", "name", C("changed_at").alias("ord"))).select("paper_id", "id", "type", "kind"),
     "r12_markers": r12,
-    "r13_empty_measures": _ctx(lambda u, n, e, s: A.empty_measures(u, s).select("paper_id", "id")),
+    "r13_empty_measures": _ctx(lambda u, n, e, s: A.empty_measures(u, s.where("marker is null"), s.where("marker like '%1%'").select("paper_id", C("measure_id").alias("id"))).select("paper_id", "id")),
     "r14_dup_scores": _ctx(lambda u, n, e, s: A.duplicate_scores(s)),
     "r15_provenance": r15,
     "r16_backfill": r16,
     "r17_anchors": _ctx(lambda u, n, e, s: A.anchors(u)),
     "r18_score_refs": _ctx(lambda u, n, e, s: A.repair_score_refs(s, u).select(C("ord").alias("row_no"), "system_id", "setup_id")),
     "r19_kinds": _ctx(lambda u, n, e, s: A.repair_kinds(u).select("paper_id", "id", "kind", "method_kind", "polarity")),
-    "r20_formulas": r20,
     "r21_edge_faults": _ctx(lambda u, n, e, s: A.edge_faults(e, u).select("paper_id", C("ord").alias("relation_no"), "fault")),
-    "r22_evaluates": _ctx(lambda u, n, e, s: A.missing_evaluates(u, e, s)),
-    "r23_mounted": _ctx(lambda u, n, e, s: A.mounted_findings(e, u)),
+    "r22_evaluates": _ctx(lambda u, n, e, s: A.missing_evaluates(u, e.where("relation <> 'evaluates'"), s)),
+    "r23_mounted": _ctx(r23),
     "r24_resolves": _ctx(r24),
     "r25_value_num": lambda s, d: table(s, d, "result_rows").select("row_no", "value_num", parse_value_num(C("value_raw")).alias("parsed")).groupBy(C("parsed").isNull().alias("unparsed")).agg(_n()),
     "r26_covers": _ctx(lambda u, n, e, s: A.covers(u, n)),
     "r27_coverage": _ctx(lambda u, n, e, s: A.coverage(u, n)),
-    "r28_document_kind": _ctx(lambda u, n, e, s: A.document_kind(u, n.where("type = 'Contribution'"))),
+    "r28_document_kind": _ctx(lambda u, n, e, s: A.document_kind(A.repair_kinds(u), n.where("type = 'Contribution'"))),
     "r29_provenance_rate": r29,
     "r34_sections": _ctx(lambda u, n, e, s: A.nonempty_sections(n.select("paper_id", "section").dropDuplicates(), u)),
     "r36_first_edges": _ctx(lambda u, n, e, s: A.first_edges(e.select("paper_id", "source_id", "relation", "target_id", "ord")).select("paper_id", "source_id", "relation", "target_id", C("ord").alias("relation_no"))),
@@ -178,7 +182,7 @@ reach AS (SELECT paper_id, id FROM n WHERE type = 'Contribution' UNION SELECT l.
 _TOK = lambda x: f"list_distinct(list_filter(string_split({norm_sql(x)}, ' '), lambda w: length(w) > 3))"
 
 _ISSUES = f"""i AS (
-SELECT paper_id, 'id_format' AS rule, id AS subject FROM u WHERE NOT regexp_full_match(id, '[a-z]+:[a-z0-9_]+')
+SELECT paper_id, 'id_format' AS rule, id AS subject FROM u WHERE NOT regexp_full_match(id, '[a-z][a-z0-9_]*:[a-z0-9_]+')
 UNION SELECT paper_id, 'unknown_type', id FROM u WHERE coalesce(type NOT IN {_in(vocab.ID_PREFIX)}, true)
 UNION SELECT paper_id, 'prefix', id FROM u WHERE {_PT} <> type
 UNION SELECT paper_id, 'kind', id FROM u WHERE kind IS NOT NULL AND NOT coalesce({_VALID.format(k='kind')}, false)
@@ -198,7 +202,7 @@ SELECT x.paper_id, CASE WHEN c THEN 'Contribution' ELSE x.type END AS type, CASE
 FROM (SELECT *, coalesce(count(*) FILTER (WHERE type = 'Contribution') OVER (PARTITION BY paper_id) = 0 AND type IN ('Component', 'ExperimentSetup')
    AND row_number() OVER (PARTITION BY paper_id ORDER BY CASE type WHEN 'Component' THEN 0 WHEN 'ExperimentSetup' THEN 1 ELSE 2 END, changed_at, id) = 1, false) AS c
    FROM n WHERE type <> 'Contribution' OR kind = 'method') x) GROUP BY ALL"""),
-    "c2_reprefix": _with(_CHG, _N, body=f"""SELECT paper_id, type, CASE WHEN regexp_full_match(x, '[a-z]+:[a-z0-9_]+') THEN x ELSE id END AS id FROM (
+    "c2_reprefix": _with(_CHG, _N, body=f"""SELECT paper_id, type, CASE WHEN regexp_full_match(x, '[a-z][a-z0-9_]*:[a-z0-9_]+') THEN x ELSE id END AS id FROM (
 SELECT *, CASE type {' '.join(f"WHEN '{t}' THEN '{p}'" for t, p in vocab.ID_PREFIX.items())} END || ':' || regexp_replace(regexp_replace(lower(CASE WHEN strpos(id, ':') > 0 THEN substr(id, strpos(id, ':') + 1) ELSE id END), '[^a-z0-9_]+', '_', 'g'), '^_+|_+$', '', 'g') AS x FROM n)"""),
     "c5_registry": _with(_CHG, _N, body="SELECT paper_id, id, type, CASE WHEN type IN ('Contribution', 'Component') THEN 'method' WHEN type = 'ExperimentSetup' THEN 'setup' ELSE lower(type) END AS cluster, nullif(kind, '') AS kind, name FROM n"),
     "r4_stamp_kind": _with(_U, _N, body=f"""SELECT u.paper_id, u.id, CASE WHEN {_VALID.format(k='n.kind').replace('type =', 'u.type =')} THEN n.kind ELSE u.kind END AS kind FROM u LEFT JOIN n ON n.paper_id = u.paper_id AND n.id = u.id"""),
@@ -208,13 +212,13 @@ SELECT *, coalesce(type <> pt AND (nt IS NULL OR nt = pt), false) AS wrong FROM
     "r8_eval_frames": _with(_U, _N, body=f"""SELECT paper_id, old_id, new_id FROM (SELECT b.paper_id, b.id AS old_id, arg_min(x.new_id, pos) AS new_id FROM (
   SELECT paper_id, id, 0 AS pos, {norm_sql('name')} AS nm FROM u WHERE type = 'Contribution' AND kind IN ('dataset', 'benchmark')
   UNION ALL SELECT paper_id, id, 1, regexp_replace({norm_sql('name')}, '( ?\\b({'|'.join(vocab.EVAL_FRAME_WORDS)}))+$', '') FROM u WHERE type = 'Contribution' AND kind IN ('dataset', 'benchmark')) b
-JOIN (SELECT paper_id, {norm_sql('name')} AS nm, arg_min(id, (changed_at, id)) AS new_id FROM n WHERE (type = 'ExperimentSetup' OR kind IN ('dataset', 'benchmark')) AND {norm_sql('name')} <> '' GROUP BY ALL) x
+JOIN (SELECT paper_id, {norm_sql('name')} AS nm, arg_min(regexp_replace(id, '^con:', 'exp:'), (changed_at, id)) AS new_id FROM n WHERE (type = 'ExperimentSetup' OR kind IN ('dataset', 'benchmark')) AND {norm_sql('name')} <> '' GROUP BY ALL) x
 ON x.paper_id = b.paper_id AND x.nm = b.nm GROUP BY ALL) WHERE old_id <> new_id"""),
     "r9_dedup_setups": _with(_U, _N, _DUPS, body="SELECT paper_id, old_id, new_id FROM dup"),
     "r10_rewrite": _with(_U, _N, _DUPS, _E, body="""SELECT e.paper_id, relation_no, coalesce(a.new_id, source_id) AS source_id, coalesce(b.new_id, target_id) AS target_id FROM e
 LEFT JOIN dup a ON a.paper_id = e.paper_id AND a.old_id = source_id LEFT JOIN dup b ON b.paper_id = e.paper_id AND b.old_id = target_id"""),
     "r11_first_units": "SELECT paper_id, id, type, kind FROM (SELECT paper_id, unit_id AS id, type, kind, row_number() OVER (PARTITION BY paper_id, unit_id ORDER BY changed_at) AS rn FROM graph_units WHERE op = 'upsert') WHERE rn = 1",
-    "r13_empty_measures": _with(_U, _S, body="SELECT paper_id, id FROM u WHERE type = 'Measure' AND NOT EXISTS (SELECT 1 FROM s WHERE s.paper_id = u.paper_id AND s.measure_id = u.id)"),
+    "r13_empty_measures": _with(_U, _S, body="SELECT paper_id, id FROM u WHERE type = 'Measure' AND NOT EXISTS (SELECT 1 FROM s WHERE s.paper_id = u.paper_id AND s.measure_id = u.id AND (table_marker IS NULL OR table_marker LIKE '%1%'))"),
     "r14_dup_scores": _with(_S, body="SELECT paper_id, measure_id, CAST(sum(c - 1) AS BIGINT) AS n_repeated FROM (SELECT paper_id, measure_id, coalesce(variant, '') AS v, coalesce(setup_id, '') AS t, count(*) AS c FROM s GROUP BY ALL) WHERE c > 1 GROUP BY ALL"),
     "r17_anchors": _with(_U, body="""SELECT paper_id, section, arg_min(id, (NOT coalesce(type = CASE section WHEN 'problem' THEN 'Problem' WHEN 'method' THEN 'Contribution' WHEN 'evidence' THEN 'Measure' END, false), changed_at, id)) AS anchor_id
 FROM u WHERE type <> 'Document' GROUP BY ALL"""),
@@ -223,30 +227,30 @@ CASE WHEN EXISTS (SELECT 1 FROM u WHERE u.paper_id = s.paper_id AND u.id = s.set
     "r19_kinds": _with(_U, body=f"""SELECT paper_id, id, CASE WHEN NOT bad THEN kind WHEN type = 'Finding' THEN 'descriptive' WHEN type = 'Contribution' THEN 'method' END AS kind,
 CASE WHEN type = 'Contribution' AND bad AND kind IN {_in(vocab.METHOD_KINDS)} THEN kind END AS method_kind, CASE WHEN type = 'Finding' AND bad AND kind IN {_in(vocab.POLARITIES)} THEN kind END AS polarity
 FROM (SELECT *, NOT coalesce({_VALID.format(k='kind')}, false) AS bad FROM u)"""),
-    "r20_formulas": """SELECT paper_id, id, arg_min(expression, o) AS expression, arg_min(name, o) FILTER (WHERE name <> '') AS name,
-CASE WHEN arg_min(role, o) FILTER (WHERE role <> '') = 'objective' THEN 'objective' END AS role FROM (
-SELECT paper_id, type AS id, description AS expression, name, kind AS role, (changed_at, unit_id) AS o, regexp_replace(description, '\\s+', '', 'g') AS k FROM graph_units WHERE op = 'upsert') WHERE k <> '' GROUP BY paper_id, id, k""",
     "r21_edge_faults": _with(_U, _E, _MATRIX, _TE, body=f"""SELECT te.paper_id, relation_no, CASE WHEN source_id = target_id THEN 'self_loop' WHEN te.relation NOT IN {_in(vocab.RELATION_MATRIX)} THEN 'unknown_relation'
 WHEN m.relation IS NULL THEN 'type_pair' END AS fault FROM te LEFT JOIN m ON m.relation = te.relation AND m.st = te.st AND m.tt = te.tt"""),
     "r22_evaluates": _with(_U, _E, _S, body="""SELECT paper_id, source_id, CASE WHEN n = 1 THEN a ELSE r END AS target_id FROM (
 SELECT s.paper_id, s.measure_id AS source_id, count(DISTINCT s.system_id) AS n, count(DISTINCT s.system_id) FILTER (WHERE y.type = 'Contribution') AS c, min(s.system_id) AS a, min(s.system_id) FILTER (WHERE y.type = 'Contribution') AS r
 FROM s JOIN u x ON x.paper_id = s.paper_id AND x.id = s.measure_id AND x.type = 'Measure' JOIN u y ON y.paper_id = s.paper_id AND y.id = s.system_id AND y.type IN ('Contribution', 'Component')
-WHERE NOT EXISTS (SELECT 1 FROM e WHERE e.relation = 'evaluates' AND e.paper_id = s.paper_id AND e.source_id = s.measure_id) GROUP BY ALL) WHERE n = 1 OR c = 1"""),
-    "r23_mounted": _with(_U, _E, _TE, body="""SELECT paper_id, source_id AS measure_id, target_id AS finding_id FROM te WHERE relation = 'supports' AND st = 'Measure' AND tt = 'Finding'
-UNION SELECT paper_id, target_id, source_id FROM te WHERE relation = 'about' AND st = 'Finding' AND tt = 'Measure'"""),
+GROUP BY ALL) WHERE n = 1 OR c = 1"""),
+    "r23_mounted": _with(_U, _E, body="""SELECT DISTINCT e.paper_id, m.id AS measure_id, e.source_id AS finding_id FROM e JOIN (SELECT paper_id, min(id) AS id FROM u WHERE type = 'Measure' GROUP BY ALL) m ON m.paper_id = e.paper_id
+JOIN u f ON f.paper_id = e.paper_id AND f.id = e.source_id AND f.type = 'Finding' WHERE relation = 'about'"""),
     "r24_resolves": "WITH RECURSIVE " + ", ".join([_U, _N, _E, _TE, _CLOSURE, f"""
 head AS (SELECT paper_id, arg_min(description, (changed_at, id)) AS h FROM u WHERE type = 'Contribution' GROUP BY ALL),
 mot AS (SELECT te.paper_id, arg_min(source_id, relation_no) AS p FROM te JOIN reach r ON r.paper_id = te.paper_id AND r.id = te.target_id WHERE relation = 'motivates' AND st = 'Problem' GROUP BY ALL),
 sole AS (SELECT paper_id, min(id) AS p FROM u WHERE type = 'Problem' GROUP BY ALL HAVING count(*) = 1),
-prob AS (SELECT coalesce(mot.paper_id, sole.paper_id) AS paper_id, coalesce(mot.p, sole.p) AS p FROM mot FULL JOIN sole ON mot.paper_id = sole.paper_id),
+held AS (SELECT paper_id, arg_min(id, (changed_at, id)) AS p FROM u WHERE section = 'problem' AND type = 'Problem' GROUP BY ALL),
+prob AS (SELECT paper_id, coalesce(any_value(a), any_value(b), any_value(c)) AS p FROM (SELECT paper_id, p AS a, NULL AS b, NULL AS c FROM mot UNION ALL SELECT paper_id, NULL, p, NULL FROM held UNION ALL SELECT paper_id, NULL, NULL, p FROM sole) GROUP BY ALL),
 ab AS (SELECT te.paper_id, te.target_id, te.source_id, relation_no, coalesce(len(list_intersect({_TOK("coalesce(h, '')")}, {_TOK("coalesce(f.description, '')")})), 0) AS sc
   FROM te JOIN reach r ON r.paper_id = te.paper_id AND r.id = te.target_id JOIN u f ON f.paper_id = te.paper_id AND f.id = te.source_id LEFT JOIN head ON head.paper_id = te.paper_id WHERE relation = 'about' AND st = 'Finding'),
 best AS (SELECT paper_id, target_id, arg_min(source_id, (-sc, relation_no, source_id)) AS source_id FROM ab GROUP BY ALL)"""]) + " SELECT DISTINCT b.paper_id, b.source_id, p AS target_id FROM best b JOIN prob ON prob.paper_id = b.paper_id",
     "r25_value_num": f"SELECT parsed IS NULL AS unparsed, count(*) AS n FROM (SELECT {VALUE_NUM_SQL} AS parsed FROM (SELECT ltrim(replace(replace(trim(value_raw), '−', '-'), '–', '-'), '≈~<>≤≥±$ ' || chr(9)) AS t FROM result_rows)) GROUP BY ALL",
     "r26_covers": _with(_U, _N, body="SELECT u.paper_id, u.section, u.id FROM u SEMI JOIN n ON n.paper_id = u.paper_id AND n.id = u.id"),
     "r27_coverage": _with(_U, _N, body="SELECT n.paper_id, count(*) AS n_planned, count(u.id) AS n_covered, count(*) FILTER (WHERE u.id IS NULL) AS n_missing FROM n LEFT JOIN u ON u.paper_id = n.paper_id AND u.id = n.id GROUP BY ALL"),
-    "r28_document_kind": _with(_U, _N, body="""SELECT paper_id, CASE WHEN t = 'Contribution' AND k IN ('dataset', 'benchmark') THEN 'benchmark_survey' WHEN k = 'taxonomy' THEN 'review' ELSE 'research_article' END AS document_kind FROM (
-SELECT u.paper_id, arg_min(u.type, (u.changed_at, u.id)) AS t, arg_min(u.kind, (u.changed_at, u.id)) AS k FROM u SEMI JOIN (SELECT * FROM n WHERE type = 'Contribution') c ON c.paper_id = u.paper_id AND c.id = u.id GROUP BY ALL)"""),
+    "r28_document_kind": _with(_U, _N, body=f"""SELECT paper_id, CASE WHEN t = 'Contribution' AND k IN ('dataset', 'benchmark') THEN 'benchmark_survey' WHEN t IN ('Contribution', 'Component') AND mk = 'taxonomy' THEN 'review' ELSE 'research_article' END AS document_kind FROM (
+SELECT x.paper_id, arg_min(x.type, (x.changed_at, x.id)) AS t, arg_min(CASE WHEN bad THEN 'method' ELSE kind END, (x.changed_at, x.id)) AS k,
+  arg_min(coalesce(CASE WHEN bad AND type = 'Contribution' THEN kind END, ''), (x.changed_at, x.id)) AS mk
+FROM (SELECT *, NOT coalesce({_VALID.format(k='kind')}, false) AS bad FROM u) x SEMI JOIN (SELECT * FROM n WHERE type = 'Contribution') c ON c.paper_id = x.paper_id AND c.id = x.id GROUP BY ALL)"""),
     "r34_sections": _with(_U, _N, body="SELECT DISTINCT n.paper_id, n.section FROM n SEMI JOIN u ON u.paper_id = n.paper_id AND u.section = n.section"),
     "r36_first_edges": _with(_E, body="SELECT paper_id, source_id, relation, target_id, min(relation_no) AS relation_no FROM e GROUP BY ALL"),
     "r37_anchored": _with(_U, _E, _TE, body="SELECT paper_id, relation_no FROM te WHERE st IS NOT NULL AND tt IS NOT NULL"),
@@ -256,8 +260,11 @@ SELECT DISTINCT paper_id, source_id AS id, target_id AS other, relation, 1 AS o,
 SEMI JOIN u ON u.paper_id = x.paper_id AND u.id = x.id LEFT JOIN u v ON v.paper_id = x.paper_id AND v.id = x.other GROUP BY ALL"""),
     "g3_roles": _with(_U, _E, body="""SELECT paper_id, id, CASE WHEN type = 'Contribution' THEN 'contribution' WHEN EXISTS (SELECT 1 FROM e WHERE e.paper_id = u.paper_id AND relation = 'compares_to' AND (source_id = u.id OR target_id = u.id)) THEN 'compared_against'
 ELSE 'component' END AS role FROM u WHERE type IN ('Contribution', 'Component')"""),
-    "g4_arc": _with(_U, _E, _TE, body="""SELECT a.paper_id, a.p AS problem_id, a.r AS root_id, f AS finding_id FROM (SELECT paper_id, arg_min(source_id, relation_no) AS p, arg_min(target_id, relation_no) AS r FROM te WHERE relation = 'motivates' AND st = 'Problem' GROUP BY ALL) a
-LEFT JOIN (SELECT paper_id, arg_min(source_id, (relation <> 'resolves', relation_no)) AS f FROM te WHERE relation IN ('resolves', 'about') AND st = 'Finding' GROUP BY ALL) b ON b.paper_id = a.paper_id"""),
+    "g4_arc": _with(_U, _E, body="""SELECT coalesce(p.paper_id, c.paper_id) AS paper_id, coalesce(p.id, r.t) AS problem_id, c.id AS root_id, coalesce(r.s, a.s) AS finding_id
+FROM (SELECT paper_id, arg_min(id, (changed_at, id)) AS id FROM u WHERE type = 'Problem' AND section = 'problem' GROUP BY ALL) p
+FULL JOIN (SELECT paper_id, arg_min(id, (changed_at, id)) AS id FROM u WHERE type = 'Contribution' GROUP BY ALL) c ON c.paper_id = p.paper_id
+LEFT JOIN (SELECT paper_id, source_id AS s, target_id AS t FROM (SELECT *, row_number() OVER (PARTITION BY paper_id ORDER BY relation_no) AS k FROM e WHERE relation = 'resolves') WHERE k = 1) r ON r.paper_id = coalesce(p.paper_id, c.paper_id)
+LEFT JOIN (SELECT e.paper_id, e.target_id, arg_min(e.source_id, relation_no) AS s FROM e JOIN u f ON f.paper_id = e.paper_id AND f.id = e.source_id AND f.type = 'Finding' WHERE relation = 'about' GROUP BY ALL) a ON a.paper_id = c.paper_id AND a.target_id = c.id"""),
     "g5_sections": "SELECT paper_id, unit_id AS id, arg_max(section, changed_at) AS last_section, arg_min(section, changed_at) AS first_section FROM graph_units WHERE section IS NOT NULL GROUP BY ALL",
     "v_issues": _with(_U, _N, _E, _MATRIX, _TE, _ISSUES, body="SELECT paper_id, rule, subject FROM i"),
     "v11_valid": _with(_U, _N, _E, _MATRIX, _TE, _ISSUES, body="SELECT c.paper_id, coalesce(k, 0) AS n_issues, k IS NULL AS valid FROM (SELECT DISTINCT paper_id FROM paper_catalog) c LEFT JOIN (SELECT paper_id, count(*) AS k FROM i GROUP BY ALL) x ON x.paper_id = c.paper_id"),

@@ -24,24 +24,6 @@ def j11(s, d, forward=False):
     return asof.asof(e.where("event_type = 'purchase'").select("event_id", "user_id", "ts"), views, ["user_id"], "ts", "view_id", forward=forward).select("event_id", "view_id")
 
 
-def graph(s, d):
-    units = V.units(s, d).drop("cite_keys")
-    heads = units.where("type = 'Contribution'").groupBy("paper_id").agg(F.min_by("description", "ord").alias("headline"))
-    edges = V.edges(s, d).select("paper_id", "source_id", "relation", "target_id", "provenance", "ord")
-    return pipeline.assemble(units, V.nodes(s, d), edges, V.scores(s, d), heads)
-
-
-def r33(s, d):
-    g = graph(s, d)
-    part = lambda t, c: getattr(g, t).groupBy(F.lit(t).alias("table_name"), C(c).alias("label")).agg(F.count(F.lit(1)).alias("n"))
-    return part("units", "type").unionByName(part("edges", "relation")).unionByName(part("issues", "rule"))
-
-
-def x6(s, d):
-    stored = pipeline.Graph(V.units(s, d), V.edges(s, d), None, None, None, V.units(s, d).where("name is null").select("paper_id"))
-    return pipeline.replay(stored, graph(s, d))
-
-
 def k5_lifted(s, d):
     """K5 with the flag of values that a transcribed row of the same paper holds too."""
     docs = table(s, d, "documents").select("doc_id", "paper_id", "text")
@@ -115,11 +97,6 @@ def k9(s, d):
     return out
 
 
-def x9(s, d):
-    c = rows(s, d).select(F.when(C("value_num").isNull(), "n-a").when(C("source") == "transcribed", "fixed").when(C("value_in_transcribed"), "partial").otherwise("still").alias("outcome"))
-    return sample.outcome_tally(c)
-
-
 def x3(s, d):
     docs = table(s, d, "documents").where("text is not null").select("doc_id", "text", C("source").alias("title"))
     return sample.usable(docs, min_chars=1000, denied="review").select("doc_id")
@@ -135,8 +112,6 @@ QUERIES = {
     "j11_asof_forward": lambda s, d: j11(s, d, True),
     "r1_flatten": r1,
     "r30_captions": r30,
-    "r33_assemble": r33,
-    "x6_replay": x6,
     "k5_lifted": k5_lifted,
     "k6_gated": k6,
     "k9_counters": k9,
@@ -148,7 +123,6 @@ QUERIES = {
     "a18_metric_index": a18,
     "n29_legacy": n29,
     "x3_usable": x3,
-    "x9_outcomes": x9,
 }
 
 _ACC = "(" + ", ".join(f"'{v}'" for v in vocab.ACCEPTED_VERSIONS) + ")"
@@ -166,8 +140,6 @@ LEFT JOIN (SELECT paper_id, count(*) AS y FROM e GROUP BY ALL) b USING (paper_id
     "a16_validity": _with(_P, body="SELECT coalesce(valid, false) AS is_valid, count(*) AS n FROM p GROUP BY ALL"),
     "a18_metric_index": _with(_W, body="SELECT metric_norm, count(DISTINCT system) AS n_systems, count(DISTINCT dataset_norm) AS n_datasets, count(*) AS n FROM w WHERE metric_norm <> '' GROUP BY ALL"),
     "x3_usable": "SELECT doc_id FROM documents WHERE length(text) >= 1000 AND NOT coalesce(regexp_matches(source, 'review'), false)",
-    "x9_outcomes": _with(_W, body="""SELECT count(*) FILTER (WHERE value_num IS NOT NULL AND source = 'transcribed') AS fixed, count(*) FILTER (WHERE value_num IS NOT NULL AND source <> 'transcribed' AND value_in_transcribed) AS partial,
-count(*) FILTER (WHERE value_num IS NOT NULL AND source <> 'transcribed' AND NOT coalesce(value_in_transcribed, false)) AS still, count(*) FILTER (WHERE value_num IS NULL) AS n_a, 0 AS regression FROM w"""),
 }
 
 from folioweave.queries.texts import _BLOCKS  # noqa: E402
