@@ -115,7 +115,7 @@ QUERIES = {
     "r10_rewrite": _ctx(lambda u, n, e, s: A.rewrite_edges(e, A.duplicate_setups(u.withColumn("name", C("kind")), n.where("type <> 'ExperimentSetup'"))).select("paper_id", C("ord").alias("relation_no"), "source_id", "target_id")),
     "r11_first_units": lambda s, d: A.first_units(table(s, d, "graph_units").where("op = 'upsert'").select("paper_id", C("unit_id").alias("id"), "section", "type", "kind", "name", C("changed_at").alias("ord"))).select("paper_id", "id", "type", "kind"),
     "r12_markers": r12,
-    "r13_empty_measures": _ctx(lambda u, n, e, s: A.empty_measures(u, s.where("marker is null"), s.where("marker like '%1%'").select("paper_id", C("measure_id").alias("id"))).select("paper_id", "id")),
+    "r13_empty_measures": _ctx(lambda u, n, e, s: A.empty_measures(u, s.where("marker is null and ord % 2 = 0"), s.where("marker like '%7%'").select("paper_id", C("measure_id").alias("id"))).select("paper_id", "id")),
     "r14_dup_scores": _ctx(lambda u, n, e, s: A.duplicate_scores(s)),
     "r15_provenance": r15,
     "r16_backfill": r16,
@@ -218,7 +218,7 @@ ON x.paper_id = b.paper_id AND x.nm = b.nm GROUP BY ALL) WHERE old_id <> new_id"
     "r10_rewrite": _with(_U, _N, _DUPS, _E, body="""SELECT e.paper_id, relation_no, coalesce(a.new_id, source_id) AS source_id, coalesce(b.new_id, target_id) AS target_id FROM e
 LEFT JOIN dup a ON a.paper_id = e.paper_id AND a.old_id = source_id LEFT JOIN dup b ON b.paper_id = e.paper_id AND b.old_id = target_id"""),
     "r11_first_units": "SELECT paper_id, id, type, kind FROM (SELECT paper_id, unit_id AS id, type, kind, row_number() OVER (PARTITION BY paper_id, unit_id ORDER BY changed_at) AS rn FROM graph_units WHERE op = 'upsert') WHERE rn = 1",
-    "r13_empty_measures": _with(_U, _S, body="SELECT paper_id, id FROM u WHERE type = 'Measure' AND NOT EXISTS (SELECT 1 FROM s WHERE s.paper_id = u.paper_id AND s.measure_id = u.id AND (table_marker IS NULL OR table_marker LIKE '%1%'))"),
+    "r13_empty_measures": _with(_U, _S, body="SELECT paper_id, id FROM u WHERE type = 'Measure' AND NOT EXISTS (SELECT 1 FROM s WHERE s.paper_id = u.paper_id AND s.measure_id = u.id AND (table_marker IS NULL AND row_no % 2 = 0 OR table_marker LIKE '%7%'))"),
     "r14_dup_scores": _with(_S, body="SELECT paper_id, measure_id, CAST(sum(c - 1) AS BIGINT) AS n_repeated FROM (SELECT paper_id, measure_id, coalesce(variant, '') AS v, coalesce(setup_id, '') AS t, count(*) AS c FROM s GROUP BY ALL) WHERE c > 1 GROUP BY ALL"),
     "r17_anchors": _with(_U, body="""SELECT paper_id, section, arg_min(id, (NOT coalesce(type = CASE section WHEN 'problem' THEN 'Problem' WHEN 'method' THEN 'Contribution' WHEN 'evidence' THEN 'Measure' END, false), changed_at, id)) AS anchor_id
 FROM u WHERE type <> 'Document' GROUP BY ALL"""),

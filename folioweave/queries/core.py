@@ -6,13 +6,13 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from folioweave.queries import assembly, corpus, extras, problems, records, scalars, sources, texts
+from folioweave.queries import assembly, checks, corpus, extras, problems, records, scalars, sources, texts
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 QUERIES: dict[str, Query] = {}
 ORACLE: dict[str, str] = {}
-for _module in (problems, scalars, texts, assembly, corpus, sources, extras, records):
+for _module in (problems, scalars, texts, assembly, corpus, sources, extras, records, checks):
     QUERIES |= _module.QUERIES
     ORACLE |= _module.ORACLE
 

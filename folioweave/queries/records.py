@@ -12,7 +12,7 @@ from folioweave.operators import validate
 from folioweave.plans import assembly, sample
 from folioweave.plans import views as V
 from folioweave.queries.assembly import labels
-from folioweave.queries.problems import _JD, _JL, _JM, canon_sql
+from folioweave.queries.problems import _JD, _JL, canon_sql
 from folioweave.session import table
 
 C = F.col
@@ -76,10 +76,6 @@ def r33_edges(s, d):
     return assembled(s, d).graph.edges.select("paper_id", "source_id", "relation", "target_id", _joined("provenance").alias("markers"))
 
 
-def record_issues(s, d):
-    return validate.issues(graph(s, d), V.nodes(s, d), captured(s, d)).select("paper_id", "rule", "subject", "message")
-
-
 def _verdicts(s, d):
     """The faults before and after the assembly."""
     nodes, tables = V.nodes(s, d), captured(s, d)
@@ -127,7 +123,6 @@ QUERIES = {
     "r33_log": r33_log,
     "r33_units": r33_units,
     "r33_edges": r33_edges,
-    "v_record_issues": record_issues,
     "c4_census": c4,
     "c6_node_ids": lambda s, d: validate.node_ids(V.nodes(s, d)),
     "x6_replay": x6,
@@ -135,6 +130,11 @@ QUERIES = {
 }
 
 
+def _JO(j):  # noqa: N802
+    """As _JM, the members of an object in the order of their keys."""
+    return f"CASE WHEN json_type({j}) = 'ARRAY' THEN CAST({j} AS JSON[]) WHEN json_type({j}) = 'OBJECT' THEN list_transform(list_sort(json_keys({j})), lambda k: json_extract({j}, '$.\"' || k || '\"')) ELSE [] END"
+
+
 def _first(j: str) -> str:
     return f"list_filter(list_transform({_JL(j)}, lambda x: {_JD('x')}), lambda x: json_type(x) = 'OBJECT')[1]"
 
@@ -146,10 +146,10 @@ PAY = f"""x0 AS (SELECT paper_id, arg_max(payload, (received_at, payload)) AS pa
 x1 AS (SELECT paper_id, {_JD("j")} AS j FROM (SELECT paper_id, CAST(payload AS JSON) AS j FROM x0 WHERE json_valid(payload))),
 x2 AS (SELECT paper_id, {_first("j")} AS j FROM x1), x3 AS (SELECT paper_id, {_UNWRAP} AS j FROM x2), x4 AS (SELECT paper_id, {_first("j")} AS j FROM x3),
 x5 AS (SELECT paper_id, {_UNWRAP} AS j FROM x4), pd AS (SELECT paper_id, {_first("j")} AS j FROM x5 WHERE j IS NOT NULL),
-s0 AS (SELECT paper_id, {_JD("x")} AS j, i FROM (SELECT paper_id, unnest({_JM(_JD("j->'sections'"))}) AS x, generate_subscripts({_JM(_JD("j->'sections'"))}, 1) AS i FROM pd)
+s0 AS (SELECT paper_id, {_JD("x")} AS j, i FROM (SELECT paper_id, unnest({_JO(_JD("j->'sections'"))}) AS x, generate_subscripts({_JO(_JD("j->'sections'"))}, 1) AS i FROM pd)
   UNION ALL SELECT paper_id, j, 1000000 FROM pd),
 s1 AS (SELECT paper_id, i, CASE WHEN i < 1000000 AND json_type({_JD("j->'section'")}) = 'OBJECT' THEN {_JD("j->'section'")} ELSE j END AS j FROM s0 WHERE json_type(j) = 'OBJECT'),
-u0 AS ({" UNION ALL ".join(f'''SELECT paper_id, i, j->>'section_type' AS section, {k} * 1000000 + generate_subscripts({_JM(_JD(f"j->'{a}'"))}, 1) AS o, unnest({_JM(_JD(f"j->'{a}'"))}) AS x, {f"'{t}'" if t else "CAST(NULL AS VARCHAR)"} AS t FROM s1''' for k, (a, t) in enumerate(_ARRAYS))}),
+u0 AS ({" UNION ALL ".join(f'''SELECT paper_id, i, j->>'section_type' AS section, {k} * 1000000 + generate_subscripts({_JO(_JD(f"j->'{a}'"))}, 1) AS o, unnest({_JO(_JD(f"j->'{a}'"))}) AS x, {f"'{t}'" if t else "CAST(NULL AS VARCHAR)"} AS t FROM s1''' for k, (a, t) in enumerate(_ARRAYS))}),
 pu AS (SELECT paper_id, i, section, i * 10000000 + o AS o, u, u->>'id' AS id, coalesce(u->>'type', t) AS type, t, u->>'kind' AS kind FROM (SELECT * EXCLUDE (x), {_JD("x")} AS u FROM u0) WHERE json_type(u) = 'OBJECT'),
 ps AS (SELECT paper_id, i, j->>'section_type' AS section, j->>'anchor_id' AS anchor_id FROM s1 s WHERE j->>'section_type' IS NOT NULL OR j->>'anchor_id' IS NOT NULL OR EXISTS (SELECT 1 FROM pu WHERE pu.paper_id = s.paper_id AND pu.i = s.i)),
 pc0 AS (SELECT paper_id, i, o, id AS measure_id, type, {_JD("u->'scores'")} AS sc FROM pu),
