@@ -10,8 +10,12 @@ footers and page numbers are skipped; broken JSON of a block gives no piece.
 
 from __future__ import annotations
 
+import re
+
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 from folioweave.operators.text import normalize_text
@@ -67,10 +71,73 @@ def _image(path: Column, caption: Column) -> Column:
 
 
 def _fenced(code: Column) -> Column:
-    fence = F.when(code.contains("````"), "`````").when(code.contains("```"), "````").otherwise("```")
+    """A fence longer than every run of backticks in the code."""
+    runs = F.transform(F.regexp_extract_all(code, F.lit("(`+)"), F.lit(1)), F.length)
+    fence = F.repeat(F.lit("`"), F.greatest(F.lit(3), F.coalesce(F.array_max(runs), F.lit(0)) + 1))
     return F.concat(fence, F.lit("\n"), code, F.lit("\n"), fence)
 
 
+_LATEX_HEADING = re.compile(r"\\((?:sub){0,2})section\*?\{([^{}\n]*)\}")
+_HEADING_LINE = re.compile(r"\s*(#{1,6})[ \t]+(\S.*?)[ \t]*#*\s*$")
+
+
+def markdown_pieces(text: str | None) -> list[dict[str, str]]:
+    """The pieces of a block that is plain text: an outer fence is taken off, LaTeX headings become Markdown ones, blank
+    lines outside fences separate paragraphs, and a heading at the beginning of a paragraph is a piece of its own."""
+    body = (text or "").strip()
+    lines = body.splitlines()
+    if len(lines) > 1 and lines[0].startswith("```") and lines[-1].strip() == "```":
+        body = "\n".join(lines[1:-1])
+    body = _LATEX_HEADING.sub(lambda m: "#" * (1 + len(m[1]) // 3) + " " + m[2].strip(), body)
+    out: list[dict[str, str]] = []
+    held: list[str] = []
+
+    def close() -> None:
+        text = "\n".join(held).strip()
+        held.clear()
+        if text:
+            title = re.match(REFERENCE_HEADING, text)
+            if title and (title.end() == len(text) or text[title.end() - 1] == "\n"):
+                out.append({"kind": "ref_heading", "text": "# " + title[1]})
+                text = text[title.end() :].strip()
+            if text:
+                out.append({"kind": "para", "text": text})
+
+    fenced = False
+    for line in body.splitlines():
+        opens = line.lstrip().startswith("```")
+        heading = None if fenced or opens or held else _HEADING_LINE.match(line)
+        if heading:
+            title = re.match(REFERENCE_HEADING, heading[2])
+            is_ref = bool(title and title.end() == len(heading[2]))
+            out.append({"kind": "ref_heading" if is_ref else "heading", "text": f"{heading[1]} {title[1] if is_ref else heading[2]}"})
+        elif fenced or opens or line.strip():
+            held.append(line)
+        else:
+            close()
+        fenced ^= opens
+    close()
+    return out
+
+
+@F.pandas_udf(T.ArrayType(T.StructType([T.StructField("kind", T.StringType()), T.StructField("text", T.StringType())])))
+def markdown_pieces_udf(text: pd.Series) -> pd.Series:
+    return text.map(markdown_pieces)
+
+
+#: Fields of a record's header, in order.
+HEADER_FIELDS = ("sha256", "id", "origin_path", "model_name", "model_version", "content_process_path", "doc_loc")
+
+
+def metadata_comment(source: Column, record: Column) -> Column:
+    """P10: a comment with the source and the filled header fields of a record (JSON text); '' where it is no object."""
+    v = F.try_parse_json(record)
+    value = lambda k: normalize_text(F.try_variant_get(v, f"$.{k}", "string"))
+    lines = F.array_compact(F.array(F.concat(F.lit("source: "), source), *(F.when(value(k) != "", F.concat(F.lit(f"{k}: "), value(k))) for k in HEADER_FIELDS)))
+    is_object = F.try_variant_get(v, "$", "map<string,variant>").isNotNull()
+    return F.when(is_object, F.concat(F.lit("<!--\n"), F.array_join(lines, "\n"), F.lit("\n-->"))).otherwise("")
+
+
 def pieces_of(block: Column) -> Column:
     """array<struct<kind, text>> of a block; kinds: ref_heading, heading, para, block, list."""
     f = _fields(block)
@@ -103,9 +170,19 @@ def pieces_of(block: Column) -> Column:
     )
 
 
+def _all_pieces(blocks: DataFrame, key: str) -> DataFrame:
+    """(doc, ord, sub, kind, text): pieces of objects by their type, of plain texts by their Markdown."""
+    plain = F.try_variant_get(F.try_parse_json("block"), "$", "map<string,variant>").isNull()
+    cols = [key, "ord"]
+    objects = blocks.where(~plain).select(*cols, F.posexplode(pieces_of(F.col("block"))).alias("sub", "p"))
+    text = F.coalesce(F.try_variant_get(F.try_parse_json("block"), "$", "string"), F.lit(None).cast("string"))
+    texts = blocks.where(plain).select(*cols, markdown_pieces_udf(text).alias("ps")).select(*cols, F.posexplode("ps").alias("sub", "p"))
+    return objects.unionByName(texts).select(*cols, "sub", "p.kind", "p.text")
+
+
 def number_pieces(blocks: DataFrame, key: str = "doc") -> DataFrame:
     """(doc, ord, sub, kind, text, in_refs, marker_no) of all pieces; marker_no is null where none is set."""
-    p = blocks.select(key, "ord", F.posexplode(pieces_of(F.col("block"))).alias("sub", "p")).select(key, "ord", "sub", "p.kind", "p.text")
+    p = _all_pieces(blocks, key)
     w = Window.partitionBy(key).orderBy("ord", "sub")  # one document is one author's text
     upto = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     state = F.when(F.col("kind") == "ref_heading", True).when(F.col("kind") == "heading", False)

@@ -271,3 +271,14 @@ def mounted(g: Graph) -> Graph:
     mark = lambda c: F.when((F.col("type") == "Measure") & truthy(F.col(c)), canon_marker(F.col(c))).otherwise(F.col(c))
     u = u.withColumns({c: mark(c) for c in ("source_table_marker", "caption_marker")})
     return replace(g, units=u.select(*g.units.columns), edges=edges)
+
+
+def key_counts(g: Graph) -> DataFrame:
+    """(paper_id, key, n): edges by relation, references held in fields, and all of both as relations_total."""
+    named = g.edges.where(truthy(F.col("relation")))
+    rel = named.groupBy("paper_id", F.concat(F.lit("rel:"), "relation").alias("key")).agg(F.count(F.lit(1)).alias("n"))
+    held = F.explode(F.array(*(F.struct(F.lit(c).alias("c"), F.col(c).alias("l")) for c in ("setup_ids", "finding_ids"))))
+    fields = g.units.select("paper_id", held.alias("f")).select("paper_id", "f.c", F.explode("f.l").alias("v")).where(truthy(F.col("v")))
+    field = fields.groupBy("paper_id", F.concat(F.lit("edge:"), "c").alias("key")).agg(F.count(F.lit(1)).alias("n"))
+    both = rel.unionByName(field)
+    return both.unionByName(both.groupBy("paper_id", F.lit("relations_total").alias("key")).agg(F.sum("n").alias("n")))

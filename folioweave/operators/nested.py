@@ -166,7 +166,7 @@ def _section(s: Column, full: bool = False) -> Column:
         _text(s, "section_type").alias("section_type"),
         _text(s, "anchor_id").alias("anchor_id"),
         F.transform(F.filter(entries, lambda x: _is_object(x["v"])), lambda x: _unit(x, full)).alias("units"),
-        *([_texts(_get(s, "covers_entries")).alias("covers"), _listed(_get(s, "covers_entries")).alias("covers_listed"), _names(s).alias("keys"), _edges(_get(s, "relations")).alias("edges")] if full else []),
+        *([_texts(_get(s, "covers_entries")).alias("covers"), _listed(_get(s, "covers_entries")).alias("covers_listed"), _names(s).alias("keys"), F.when(_get(s, "sections").isNull(), _edges(_get(s, "relations"))).alias("edges")] if full else []),
     )
 
 

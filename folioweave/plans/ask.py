@@ -6,6 +6,7 @@ whole set. Needles of lookup and leaderboard are used as given, those of sweep a
 
 from __future__ import annotations
 
+import json
 from functools import reduce
 from typing import Any
 
@@ -90,6 +91,9 @@ def cited(entities: DataFrame, entity_substr: str, min_papers: int = 1) -> DataF
     return entities.where(F.col("canonical_key").contains(_norm(entity_substr)) & (F.col("n_papers") >= min_papers))
 
 
+TASKS = ("facet", "lookup", "sweep", "leaderboard", "compare", "join")
+
+
 def hits(question: dict[str, Any], catalog: DataFrame, cards: DataFrame, rows: DataFrame, entities: DataFrame) -> DataFrame:
     """The rows that answer one question."""
     q = {k: v for k, v in question.items() if k not in ("id", "task", "desc", "min_hits", "min_pairs", "direction")}
@@ -117,3 +121,12 @@ def answers(questions: list[dict[str, Any]], catalog: DataFrame, cards: DataFram
 
 def by_task(answered: DataFrame) -> DataFrame:
     return answered.groupBy("task").agg(F.count_if("answered").alias("n_answered"), F.count(F.lit(1)).alias("n_questions"))
+
+
+def load_questions(text: str) -> list[dict[str, Any]]:
+    """Q8: a question set from JSON text: a list of objects with an id and a known task, each with the settings of that task."""
+    questions = json.loads(text)
+    for q in questions if isinstance(questions, list) else [None]:
+        if not isinstance(q, dict) or not q.get("id") or q.get("task") not in TASKS:
+            raise ValueError(f"no question: {q}")
+    return questions

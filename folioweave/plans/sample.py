@@ -30,8 +30,9 @@ def usable(docs: DataFrame, min_chars: int = 6_000, denied: str = r"(?i)\b(?:err
     return docs.where((F.length("text") >= min_chars) & ~F.coalesce(F.col("title").rlike(denied), F.lit(False)))
 
 
-def stratified(papers: DataFrame, quota: int, tail_quota: int, tail_before: int, seed: int = 20260618, key: str = "paper_id") -> DataFrame:
-    """Up to ``quota`` papers per venue, at most ``tail_quota`` of them older, in the order of a seeded hash.
+def stratified(papers: DataFrame, quota: int, tail_quota: int, tail_before: int, seed: int = 20260618, key: str = "paper_id", total: int | None = None) -> DataFrame:
+    """Up to ``quota`` papers per venue, at most ``tail_quota`` of them older, in the order of a seeded hash; where these are
+    fewer than ``total``, the next papers of any venue in that order are taken, newer ones first.
 
     Deterministic for a seed, whatever the partitions. Picks differ from other generators'. The draw is a top-k per
     venue, taken in two steps so that no venue is sorted in one task: first per hash bin, then over what is left.
@@ -43,6 +44,9 @@ def stratified(papers: DataFrame, quota: int, tail_quota: int, tail_before: int,
     first = binned.withColumn("rn", F.row_number().over(Window.partitionBy("venue", "tail", "bin").orderBy(*order))).where(F.col("rn") <= limit)
     part = first.withColumn("rn", F.row_number().over(Window.partitionBy("venue", "tail").orderBy(*order))).where(F.col("rn") <= limit)
     picked = part.withColumn("rn", F.row_number().over(Window.partitionBy("venue").orderBy("tail", *order))).where(F.col("rn") <= quota)
+    if total is not None and (short := total - picked.count()) > 0:
+        rest = p.join(picked.select(key), key, "left_anti").orderBy("tail", *order).limit(short)
+        return picked.select(*papers.columns, "tail").unionByName(rest.select(*papers.columns, "tail"))
     return picked.drop("rn", "bin", "h")
 
 
@@ -51,6 +55,22 @@ def sample_report(sample: DataFrame) -> DataFrame:
     return sample.groupBy("venue").agg(F.count(F.lit(1)).alias("n"), F.count_if("tail").alias("n_tail"), F.min("year").alias("first_year"))
 
 
+def year_histogram(sample: DataFrame) -> DataFrame:
+    """Papers by year; null is its own bar."""
+    return sample.groupBy("year").agg(F.count(F.lit(1)).alias("n"))
+
+
+def fuzzy_tagged(ids: DataFrame, keys: DataFrame, least: int = 3) -> DataFrame:
+    """Ids that equal a key or hold it, or that a key holds, either at least ``least`` characters long. ``keys`` is a baseline
+    of at most 10,000 names, checked, so that every id is compared with all of them where it lies."""
+    known = [r[0] for r in keys.where("key is not null").select("key").distinct().limit(10_001).collect()]
+    if len(known) > 10_000:
+        raise ValueError("more than 10,000 keys")
+    listed = F.array(*map(F.lit, sorted(known))).cast("array<string>")
+    hit = lambda k: (F.col("id") == k) | ((F.length(k) >= least) & F.col("id").contains(k)) | ((F.length("id") >= least) & k.contains(F.col("id")))
+    return ids.withColumn("tagged", F.coalesce(F.exists(listed, hit), F.lit(False)))
+
+
 def run_difference(before: DataFrame, after: DataFrame, keys: list[str], metrics: list[str]) -> DataFrame:
     """Differences of metrics of the papers in both runs."""
     b = before.select(*keys, *(F.col(m).alias(f"b_{m}") for m in metrics))

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from folioweave.functions.scalar import effective_cost
+from folioweave.functions.scalar import dollars, effective_cost
 
 
 def stage_totals(usage: DataFrame) -> DataFrame:
@@ -18,11 +18,27 @@ def stage_totals(usage: DataFrame) -> DataFrame:
 
 
 def cost_report(usage: DataFrame) -> DataFrame:
-    """Totals and effective cost by stage, with a TOTAL row by ROLLUP."""
+    """Totals, hit rate of the cache, effective cost with its share, and dollars by stage, with a TOTAL row by ROLLUP."""
     g = usage.rollup("stage").agg(F.count(F.lit(1)).alias("calls"), *(F.sum(c).alias(c) for c in ("prompt", "cached", "completion")), F.grouping("stage").alias("g"))
+    p, c, o = F.col("prompt"), F.col("cached"), F.col("completion")
+    g = g.withColumn("effective", effective_cost(p, c, o))
+    whole = F.max(F.when(F.col("g") == 1, F.col("effective"))).over(Window.partitionBy(F.lit(1)))  # a row per stage
     return g.select(
-        F.when(F.col("g") == 1, "TOTAL").otherwise(F.col("stage")).alias("stage"), "calls", (F.col("prompt") - F.col("cached")).alias("uncached"),
-        effective_cost(F.col("prompt"), F.col("cached"), F.col("completion")).alias("effective"),
+        F.when(F.col("g") == 1, "TOTAL").otherwise(F.col("stage")).alias("stage"), "calls", (p - c).alias("uncached"), "effective",
+        F.when(p > 0, c / p).alias("hit_rate"), F.when(whole > 0, F.col("effective") / whole).alias("share"), dollars(p, c, o).alias("usd"),
+    )
+
+
+def load_usage(tree: DataFrame) -> DataFrame:
+    """Usage rows from the status files of a run (paper_id, stage, payload): ``token_usage`` with an object
+    ``by_stage`` of counts, or the counts of each stage themselves; counts that are missing are 0."""
+    v = F.try_parse_json("payload")
+    per = F.coalesce(F.try_variant_get(v, "$.token_usage.by_stage", "map<string,variant>"), F.try_variant_get(v, "$.token_usage", "map<string,variant>"))
+    rows = tree.where("stage = 'status'").select("paper_id", F.explode(per).alias("stage", "u"))
+    n = lambda *ks: F.coalesce(*(F.try_variant_get("u", f"$.{k}", "bigint") for k in ks), F.lit(0).cast("bigint"))
+    return rows.select(
+        "paper_id", "stage", n("prompt_tokens", "prompt").alias("prompt"), n("cached_tokens", "cached").alias("cached"), n("completion_tokens", "completion").alias("completion"),
+        F.coalesce(F.try_variant_get("u", "$.truncated", "boolean"), F.lit(False)).alias("truncated"),
     )
 
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from folioweave.functions.scalar import normalize_name
+from folioweave.functions.scalar import RATES_PER_MILLION, normalize_name
 from folioweave.operators import citations as M
 from folioweave.plans import ask, corpus, sample, telemetry
 from folioweave.plans import views as V
@@ -256,7 +256,10 @@ CASE WHEN len(list_filter(hs, lambda h: regexp_matches(h, '(^|\\.)(zenodo\\.org|
 SELECT *, nullif(regexp_extract(paper_id, '^(?:[0-9]+_)?(?:([A-Za-z][A-Za-z0-9-]*)_)?((?:19|20)[0-9]{2})(?:[_-]|$)', 1), '') AS dv, try_cast(nullif(regexp_extract(paper_id, '^(?:[0-9]+_)?(?:([A-Za-z][A-Za-z0-9-]*)_)?((?:19|20)[0-9]{2})(?:[_-]|$)', 2), '') AS INTEGER) AS dy,
 list_transform(resource_urls, lambda x: regexp_replace(lower(regexp_extract(CASE WHEN strpos(x, '://') > 0 THEN trim(x) ELSE 'https://' || trim(x) END, '^[^:/?#]+://([^/?#]*)', 1)), '^www\\.', '')) AS hs FROM p)"""),
     "a7_stage_totals": _with(_US, body="SELECT stage, count(*) AS calls, CAST(sum(prompt) AS BIGINT) AS prompt, CAST(sum(cached) AS BIGINT) AS cached, CAST(sum(completion) AS BIGINT) AS completion FROM us GROUP BY ALL"),
-    "a8_cost_report": _with(_US, body="SELECT coalesce(stage, 'TOTAL') AS stage, count(*) AS calls, CAST(sum(prompt) - sum(cached) AS BIGINT) AS uncached, CAST(sum(prompt) - sum(cached) + 4 * sum(completion) AS BIGINT) AS effective FROM us GROUP BY ROLLUP (stage)"),
+    "a8_cost_report": _with(_US, body=f"""SELECT *, effective / max(CASE WHEN stage = 'TOTAL' THEN effective END) OVER () AS share FROM (SELECT coalesce(stage, 'TOTAL') AS stage, count(*) AS calls, CAST(sum(prompt) - sum(cached) AS BIGINT) AS uncached,
+CAST(sum(prompt) - sum(cached) + 4 * sum(completion) AS BIGINT) AS effective, sum(cached) / sum(prompt) AS hit_rate,
+CAST(((CAST(sum(prompt) AS BIGINT) - CAST(sum(cached) AS BIGINT)) * CAST({RATES_PER_MILLION['uncached']} AS DOUBLE) + CAST(sum(cached) AS BIGINT) * CAST({RATES_PER_MILLION['cached']} AS DOUBLE) + CAST(sum(completion) AS BIGINT) * CAST({RATES_PER_MILLION['completion']} AS DOUBLE)) / 1e6 AS DOUBLE) AS usd
+FROM us GROUP BY ROLLUP (stage))"""),
     "a9_cache": _with(_US, _CD, body="SELECT * FROM cd"),
     "a9_cache_summary": _with(_US, _CD, body="SELECT count(*) AS n_papers, count(*) FILTER (WHERE same_prefix) AS n_same, quantile_disc(prefix, 0.5 ORDER BY prefix DESC) AS median_prefix, CAST(sum(redundant) AS BIGINT) AS redundant, CAST(sum(saving) AS BIGINT) AS saving FROM cd"),
     "a10_paper_usage": _with(_US, body="SELECT paper_id, CAST(sum(prompt + completion) AS BIGINT) AS tokens, bool_or(truncated) AS truncated FROM us GROUP BY ALL"),

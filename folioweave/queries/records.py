@@ -111,6 +111,7 @@ def c4(s, d):
 
 
 QUERIES = {
+    "a6_key_counts": lambda s, d: G.key_counts(graph(s, d)),
     "r1_units": lambda s, d: G.flattened(graph(s, d)).units.select("paper_id", "section", "id", "type").dropDuplicates(),
     "r3_aliases": lambda s, d: G.renamed(graph(s, d), lambda c: F.regexp_replace(c, "^cmp:", "met:")).edges.select("paper_id", "source_id", "target_id").dropDuplicates(),
     "r13_no_scores": lambda s, d: G.without_empty_measures(graph(s, d))[1].dropDuplicates(),
@@ -175,6 +176,9 @@ _MARK_OK = f"CASE WHEN regexp_full_match({_MARK}, '§([0-9]+|[A-Za-z]+)') THEN [
 _PT = "CASE split_part(id, ':', 1) " + " ".join(f"WHEN '{p}' THEN '{t}'" for t, p in vocab.ID_PREFIX.items()) + " END"
 
 ORACLE = {
+    "a6_key_counts": f"""WITH {PAY}, k AS (SELECT paper_id, 'rel:' || relation AS key FROM pe WHERE relation <> ''
+UNION ALL SELECT paper_id, 'edge:setup_ids' FROM (SELECT paper_id, unnest({_list('setup_ids')}) AS v FROM pu) WHERE v <> '' UNION ALL SELECT paper_id, 'edge:finding_ids' FROM (SELECT paper_id, unnest({_list('finding_ids')}) AS v FROM pu) WHERE v <> '')
+SELECT paper_id, key, count(*) AS n FROM k GROUP BY ALL UNION ALL SELECT paper_id, 'relations_total', count(*) FROM k GROUP BY ALL""",
     "r1_units": f"WITH {PAY}, {_R1} SELECT DISTINCT paper_id, section, id, type FROM r1",
     "r3_aliases": f"WITH {PAY} SELECT DISTINCT paper_id, regexp_replace(source_id, '^cmp:', 'met:') AS source_id, regexp_replace(target_id, '^cmp:', 'met:') AS target_id FROM pe",
     "r13_no_scores": f"WITH {PAY} SELECT DISTINCT paper_id, id FROM pu WHERE type = 'Measure' AND {_NSC} = 0 AND coalesce(u->>'source_table_marker', '') = ''",

@@ -9,7 +9,9 @@ from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
+from folioweave.functions import vocab
 from folioweave.operators.blocks import explode_records, to_markdown
 
 STAGE_FILES = ("01_census", "02_metadata", "03_citations", "03_reference_metadata", "03_references", "04_relations", "06_extraction", "07_validation", "status")
@@ -31,27 +33,41 @@ def scan_json(spark: SparkSession, path: str, recursive: bool = False) -> DataFr
 
 
 def scan_jsonl(spark: SparkSession, path: str, strict: bool = True) -> DataFrame:
-    """(doc, line_no, payload) of JSON-lines files; a bad line fails the job, or is dropped if not ``strict``."""
-    r = spark.read.option("pathGlobFilter", "*.{jsonl,ndjson}").text(path, wholetext=True)
-    lines = r.select(_stem().alias("file"), F.posexplode(F.split("value", "\n")).alias("line_no", "payload")).where("trim(payload) <> ''")
-    lines = lines.select(F.concat_ws(":", "file", F.col("line_no") + 1).alias("doc"), F.col("line_no") + 1, "payload").toDF("doc", "line_no", "payload")
+    """(doc, line_no, payload) of JSON-lines files; a bad line fails the job, or is dropped if not ``strict``.
+
+    Files are read line by line and split, however large. A line's number is its place in its block of the file and the
+    number of lines in the blocks before it: rows get ids that rise within a block, and one row per block tells where it begins.
+    """
+    r = spark.read.option("pathGlobFilter", "*.{jsonl,ndjson}").option("lineSep", "\n").text(path)
+    place = ["path", "block"]
+    rows = r.select(F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("block"), _stem().alias("file"), F.monotonically_increasing_id().alias("id"), F.col("value").alias("payload"))
+    sizes = rows.groupBy(*place).agg(F.min("id").alias("first"), F.count(F.lit(1)).alias("n"))
+    before = F.coalesce(F.sum("n").over(Window.partitionBy("path").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    rows = rows.join(sizes.select(*place, "first", before.alias("before")), place).where("trim(payload) <> ''")
+    rows = rows.withColumn("line_no", (F.col("before") + F.col("id") - F.col("first") + 1).cast("int"))
+    lines = rows.select(F.concat_ws(":", "file", "line_no").alias("doc"), "line_no", F.regexp_replace("payload", r"\r$", "").alias("payload"))
     if not strict:
         return lines.where(F.try_parse_json("payload").isNotNull())
     bad = F.raise_error(F.concat(F.lit("not JSON: "), F.col("doc"))).cast("string")
     return lines.withColumn("payload", F.when(F.try_parse_json("payload").isNull(), bad).otherwise(F.col("payload")))
 
 
+def has_files(spark: SparkSession, path: str, pattern: str) -> bool:
+    """Whether a folder of any file system that Spark reads holds such files; nothing of them is read."""
+    found = spark.read.format("binaryFile").option("pathGlobFilter", pattern).load(path)
+    return not found.select("path").limit(1).isEmpty()
+
+
 def scan_papers(spark: SparkSession, path: str, kind: str = "auto") -> DataFrame:
     """Papers of a folder: Markdown as it is, JSON and JSON lines converted; ``auto`` prefers Markdown."""
-    names = [p.name for p in Path(path).iterdir()]
-    if kind == "md" or kind == "auto" and any(n.endswith(".md") for n in names):
+    if kind == "auto":
+        kinds = {"md": "*.md", "json": "*.json", "jsonl": "*.{jsonl,ndjson}"}
+        kind = next((k for k, pattern in kinds.items() if has_files(spark, path, pattern)), "none")
+    if kind == "md":
         return scan_markdown(spark, path)
-    if kind == "json" or kind == "auto" and any(n.endswith(".json") for n in names):
-        records = scan_json(spark, path)
-    elif kind == "jsonl" or any(n.endswith((".jsonl", ".ndjson")) for n in names):
-        records = scan_jsonl(spark, path)
-    else:
+    if kind not in ("json", "jsonl"):
         raise ValueError(f"no papers in {path}")
+    records = scan_json(spark, path) if kind == "json" else scan_jsonl(spark, path)
     return to_markdown(explode_records(records)).select(F.col("doc").alias("paper_id"), F.col("markdown").alias("content"))
 
 
@@ -89,9 +105,29 @@ def unfinished(papers: DataFrame, status: DataFrame, limit: int | None = None, f
     return p if force else p.join(status.where("status = 'completed'").select("paper_id").dropDuplicates(), "paper_id", "left_anti")
 
 
-def manifest(tables: dict[str, DataFrame], version: str) -> dict:
-    """The data dictionary of a run: every table with its columns and types."""
-    return {"ir_version": version, "tables": {name: dict(df.dtypes) for name, df in tables.items()}}
+def manifest(tables: dict[str, DataFrame], version: str, descriptions: dict[str, str] | None = None) -> dict:
+    """The data dictionary of a run: its tables with their columns, types and descriptions, the files of a paper, and the
+    closed vocabularies of sections, unit types, kinds and relations."""
+    said = descriptions or {}
+    made = {name: {"description": said.get(name, ""), "columns": [{"name": c, "type": t, "description": said.get(f"{name}.{c}", "")} for c, t in df.dtypes]} for name, df in tables.items()}
+    return {
+        "ir_version": version,
+        "accepted_versions": list(vocab.ACCEPTED_VERSIONS),
+        "tables": made,
+        "stage_files": list(STAGE_FILES),
+        "sections": {k: {"unit_types": list(v), "preferred_anchor": vocab.PREFERRED_ANCHOR[k]} for k, v in vocab.SECTION_UNIT_TYPES.items()},
+        "units": {t: {"id_prefix": vocab.ID_PREFIX.get(t, "doc"), "fields": list(keys), "kinds": list(vocab.KINDS_BY_TYPE.get(t, ()))} for t, keys in vocab.UNIT_KEYS.items()},
+        "relations": {r: {"sources": list(a), "targets": list(b)} for r, (a, b) in vocab.RELATION_MATRIX.items()},
+    }
+
+
+def progress(papers: DataFrame, status: DataFrame, seconds: float) -> DataFrame:
+    """Total, completed and failed papers, papers a minute and the minutes left at that pace (null before the first)."""
+    j = papers.select("paper_id").dropDuplicates().join(status.groupBy("paper_id").agg(F.max("status").alias("status")), "paper_id", "left")
+    g = j.agg(F.count(F.lit(1)).alias("n_papers"), F.count_if(F.col("status") == "completed").alias("n_completed"), F.count_if(F.col("status") == "failed").alias("n_failed"))
+    done = F.col("n_completed") + F.col("n_failed")
+    pace = done * 60.0 / seconds
+    return g.select("*", pace.alias("papers_per_minute"), F.when(done > 0, (F.col("n_papers") - done) / pace).alias("minutes_left"))
 
 
 def run_summary(status: DataFrame) -> DataFrame:

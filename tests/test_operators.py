@@ -407,3 +407,37 @@ def test_canonical_ids_of_odd_spelling(spark):
     }
     rows = spark.createDataFrame(list(want.items()), "a string, b string").select("a", "b", ids.canonical(F.col("a")).alias("c")).collect()
     assert [(r.a, r.c) for r in rows] == [(r.a, r.b) for r in rows]
+
+
+def test_markdown_pieces_of_plain_text():
+    text = "```markdown\n\\section{Intro}\nFirst.\n\nSecond\nline.\n```\n"
+    assert K.markdown_pieces(text) == [{"kind": "heading", "text": "# Intro"}, {"kind": "para", "text": "First."}, {"kind": "para", "text": "Second\nline."}]
+    code = "Text.\n\n~\n```py\na\n\n# no heading\n```\n\n## References\n\nReferences\n[1] A."
+    assert [p["kind"] for p in K.markdown_pieces(code)] == ["para", "para", "ref_heading", "ref_heading", "para"]
+    assert K.markdown_pieces("\\subsubsection*{Deep}") == [{"kind": "heading", "text": "### Deep"}]
+    assert K.markdown_pieces(None) == [] == K.markdown_pieces(" \n ")
+
+
+def test_plain_blocks_headers_and_fences(spark):
+    df = spark.createDataFrame([("d", 0, '"# One\\n\\nTwo"'), ("d", 1, '{"type": "code", "code_body": "a ```` b"}')], "doc string, ord int, block string")
+    assert K.to_markdown(df).head().markdown == "# One\n\n[§1] Two\n\n[§2]\n`````\na ```` b\n`````\n"
+    rows = spark.createDataFrame([("s", '{"id": "7", "origin_path": " a/b.pdf ", "model_name": ""}'), ("s", "[]"), ("s", None)], "s string, r string")
+    got = [r[0] for r in rows.select(K.metadata_comment(F.col("s"), F.col("r"))).collect()]
+    assert got == ["<!--\nsource: s\nid: 7\norigin_path: a/b.pdf\n-->", "", ""]
+
+
+def test_fuzzy_tags_backfill_and_questions(spark):
+    from folioweave.plans import ask
+
+    ids = spark.createDataFrame([("abc",), ("x-abc-y",), ("bc",), ("zz",), (None,)], "id string")
+    keys = spark.createDataFrame([("abc",), ("zzz",), (None,)], "key string")
+    assert {r.id: r.tagged for r in sample.fuzzy_tagged(ids, keys).collect()} == {"abc": True, "x-abc-y": True, "bc": False, "zz": False, None: False}
+    papers = spark.createDataFrame([(f"p{i}", "v" if i < 30 else "w", 2024 if i % 2 else 2010) for i in range(40)], "paper_id string, venue string, year int")
+    got = sample.stratified(papers, quota=5, tail_quota=2, tail_before=2020, total=20)
+    assert got.count() == 20 and got.select("paper_id").distinct().count() == 20
+    assert sample.stratified(papers, 5, 2, 2020).count() == 10
+    assert {r.year: r.n for r in sample.year_histogram(papers).collect()} == {2024: 20, 2010: 20}
+    assert ask.load_questions('[{"id": "a", "task": "facet"}]')[0]["task"] == "facet"
+    for bad in ("{}", '[{"id": "a", "task": "none"}]', "[1]"):
+        with pytest.raises(ValueError):
+            ask.load_questions(bad)

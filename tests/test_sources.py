@@ -86,5 +86,39 @@ def test_stream_handles_each_file_once(spark, tmp_path):
 
 
 def test_manifest(spark):
-    m = files.manifest({"t": spark.createDataFrame([], "a int")}, "v1")
-    assert m == {"ir_version": "v1", "tables": {"t": {"a": "int"}}}
+    m = files.manifest({"t": spark.createDataFrame([(1,)], "a int")}, "v1", {"t": "a table", "t.a": "a number"})
+    assert m["ir_version"] == "v1" and m["tables"] == {"t": {"description": "a table", "columns": [{"name": "a", "type": "int", "description": "a number"}]}}
+    assert m["units"]["Measure"]["id_prefix"] == "mea" and m["relations"]["resolves"] == {"sources": ["Finding"], "targets": ["Problem"]}
+
+
+def test_lines_of_split_files_keep_their_numbers(spark, tmp_path):
+    """Two files in many blocks each, with blank lines and carriage returns."""
+    for name, n in (("a", 400), ("b", 90)):
+        rows = [json.dumps({"k": i, "pad": "x" * (i % 50)}) + ("\r" if i % 7 == 0 else "") if i % 11 else "" for i in range(1, n + 1)]
+        (tmp_path / f"{name}.jsonl").write_text("\n".join(rows) + "\n")
+    size = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    try:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", "2000")
+        got = [(r.doc, r.line_no, json.loads(r.payload)["k"]) for r in files.scan_jsonl(spark, str(tmp_path)).collect()]
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+    assert len(got) == 490 - 400 // 11 - 90 // 11
+    assert all(no == k and doc.endswith(f":{k}") for doc, no, k in got)
+
+
+def test_progress(spark):
+    p = spark.createDataFrame([(f"p{i}",) for i in range(10)], "paper_id string")
+    s = spark.createDataFrame([("p1", "completed"), ("p2", "completed"), ("p3", "failed"), ("p4", None)], "paper_id string, status string")
+    r = files.progress(p, s, 90.0).head()
+    assert (r.n_papers, r.n_completed, r.n_failed, r.papers_per_minute, r.minutes_left) == (10, 2, 1, 2.0, 3.5)
+    assert files.progress(p, s.limit(0), 90.0).head().minutes_left is None
+
+
+def test_usage_of_a_run(spark):
+    from folioweave.plans import telemetry
+
+    rows = [("p1", "status", json.dumps({"token_usage": {"by_stage": {"method": {"prompt_tokens": 10, "cached_tokens": 4, "completion_tokens": 2, "truncated": True}}}})), ("p2", "status", json.dumps({"token_usage": {"problem": {"prompt": 5}}})), ("p3", "status", None), ("p4", "01_census", "{}")]
+    got = sorted(tuple(r) for r in telemetry.load_usage(spark.createDataFrame(rows, "paper_id string, stage string, payload string")).collect())
+    assert got == [("p1", "method", 10, 4, 2, True), ("p2", "problem", 5, 0, 0, False)]
+    total = [r for r in telemetry.cost_report(telemetry.load_usage(spark.createDataFrame(rows, "paper_id string, stage string, payload string"))).collect() if r.stage == "TOTAL"][0]
+    assert (total.effective, total.share, total.hit_rate) == (6 + 5 + 8, 1.0, 4 / 15)
