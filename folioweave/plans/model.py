@@ -11,6 +11,7 @@ import json
 import re
 import time
 from collections.abc import Callable, Iterator
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from hashlib import sha256
 
@@ -131,15 +132,20 @@ def ask(provider, stage: str, prompt: str, tries: int = 3, parse_tries: int = 2,
     return row
 
 
-def run_stage(prompts: DataFrame, provider, tries: int = 3) -> DataFrame:
-    """The answers to (paper_id, stage, prompt)."""
+def run_stage(prompts: DataFrame, provider, tries: int = 3, in_flight: int = 30, per_task: int = 4) -> DataFrame:
+    """The answers to (paper_id, stage, prompt), at most ``in_flight`` calls at once in the whole run: prompts are
+    spread over in_flight / per_task partitions, each of which keeps per_task calls in the air."""
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in frames:
-            rows = [{"paper_id": r.paper_id, "stage": r.stage} | ask(provider, r.stage, r.prompt, tries) for r in pdf.itertuples()]
-            yield pd.DataFrame(rows, columns=[c.split()[0] for c in OUT_SCHEMA.split(", ")])
-
-    return prompts.select("paper_id", "stage", "prompt").mapInPandas(run, OUT_SCHEMA)
+        names = [c.split()[0] for c in OUT_SCHEMA.split(", ")]
+        with ThreadPoolExecutor(per_task) as pool:
+            for pdf in frames:
+                asked = list(pdf.itertuples())
+                got = pool.map(lambda r: ask(provider, r.stage, r.prompt, tries), asked)
+                yield pd.DataFrame([{"paper_id": r.paper_id, "stage": r.stage} | a for r, a in zip(asked, got)], columns=names)
+
+    spread = prompts.select("paper_id", "stage", "prompt").repartition(max(1, in_flight // per_task), "paper_id", "stage")
+    return spread.mapInPandas(run, OUT_SCHEMA)
 
 
 def sections_ok(answers: DataFrame, sections: tuple[str, ...] = ("problem", "method", "evidence")) -> DataFrame:

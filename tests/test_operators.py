@@ -441,3 +441,29 @@ def test_fuzzy_tags_backfill_and_questions(spark):
     for bad in ("{}", '[{"id": "a", "task": "none"}]', "[1]"):
         with pytest.raises(ValueError):
             ask.load_questions(bad)
+
+
+def test_stages_from_prompts_to_tables(spark):
+    """Every stage with a stand-in that answers in the stage's form, and answers that are broken."""
+    from folioweave.plans import stages
+
+    papers = spark.createDataFrame([("p", PAPER), ("q", None)], "paper_id string, text string")
+    fake = model.Fake(stages.stand_in)
+    run = lambda stage, i: model.run_stage(stages.prompts(stage, i), fake)
+    census = run("census", stages.Inputs(papers)).cache()
+    assert [(r.id, r.type) for r in stages.census_nodes(census).collect()] == [("x", "Problem")] and stages.summaries(census).head().domain == "x"
+    with_census = stages.Inputs(papers, stages.census_input(census))
+    relations = run("relations", with_census).cache()
+    assert stages.relation_edges(relations).count() == 1
+    whole = stages.Inputs(papers, stages.census_input(census), stages.relation_input(relations))
+    made = [stages.prompts(f"section:{s}", whole).head().prompt for s in ("problem", "method", "evidence")]
+    cut = made[0].index("TASK\n")
+    assert len({m[:cut] for m in made}) == 1 and len(set(made)) == 3 and "[§8]" not in made[0]
+    sections = run("section:problem", whole).unionByName(run("section:method", whole)).unionByName(run("section:evidence", whole))
+    assert {(r.section, r.type) for r in stages.section_units(sections).collect()} == {(s, t) for s, t in __import__("folioweave.functions.vocab", fromlist=["x"]).section_unit_rows()}
+    assert stages.section_edges(sections).count() == 2
+    assert stages.metadata(run("metadata", whole)).head().authors == ["x"]
+    assert stages.citations(run("citations", whole)).head().signal == "x"
+    assert stages.references(run("references", whole)).head().year == 2020
+    bad = spark.createDataFrame([("p", "census", None), ("q", "census", '{"nodes": [1], "spine_summary": "no"}'), ("r", "census", "{}")], "paper_id string, stage string, answer string")
+    assert stages.census_nodes(bad).count() <= 1 and stages.relation_edges(bad).count() == 0
