@@ -398,6 +398,7 @@ def resolves(units: DataFrame, edges: DataFrame, roots: DataFrame, headlines: Da
     """
     from folioweave.functions.scalar import headline_overlap
 
+    units, edges = cut(units), cut(edges)
     closed = undirected_closure(roots, edges.where("relation = 'co_contribution'"))
     t = _typed(edges, units)
     to_root = closed.select("paper_id", F.col("id").alias("target_id"))
@@ -457,6 +458,7 @@ def unit_sections(units: DataFrame) -> DataFrame:
 def issues(units: DataFrame, edges: DataFrame, nodes: DataFrame) -> DataFrame:
     """(paper_id, rule, subject) of the violations of V2, V3, V5, V6, V7 and V10 that the SQL of v_issues holds; the other
     ones are in ``further_issues``, and only a paper without rows in both is valid (V11)."""
+    units, edges, nodes = cut(units), cut(edges), cut(nodes.select(*KEY))  # each is read several times
     u = units.withColumn("rule", F.explode(F.array_compact(F.array(
         F.when(~F.coalesce(F.col("id").rlike(ID_FORMAT), F.lit(False)), "id_format"),
         F.when(~F.coalesce(F.col("type").isin(*vocab.ID_PREFIX), F.lit(False)), "unknown_type"),
@@ -488,6 +490,7 @@ def further_issues(units: DataFrame, edges: DataFrame, scores: DataFrame, marked
     Measures, marked(paper_id, marker) the table markers of all result rows, tables(paper_id, marker) the captured tables, versions(paper_id, ir_version) one row per paper. A null
     section is unknown and not taken for another one; a null direction or role is absent; a null version is a fault.
     """
+    units, edges, scores = cut(units), cut(edges), cut(scores)
     empty = lambda c: ~truthy(F.col(c))
     u = units.withColumn("rule", F.explode(F.array_compact(F.array(
         F.when(F.col("type").isin(*vocab.KINDS_BY_TYPE) & empty("kind"), "kind_missing"),

@@ -7,6 +7,7 @@ whole set. Needles of lookup and leaderboard are used as given, those of sweep a
 from __future__ import annotations
 
 import json
+import re
 from functools import reduce
 from typing import Any
 
@@ -45,8 +46,9 @@ def lookup(catalog: DataFrame, paper_substr: str) -> DataFrame:
 
 def sweep(cards: DataFrame, catalog: DataFrame, keywords: list[str]) -> DataFrame:
     """Q3: papers with the number of their cards that contain a keyword, and those whose surface does, with 0."""
-    words = [_norm(k) for k in keywords]
-    any_of = lambda c: reduce(lambda a, b: a | b, (F.coalesce(normalize_name(c).contains(w), F.lit(False)) for w in words))
+    # One pattern of all keywords, so that a text is normalised once.
+    words = "|".join(re.escape(_norm(k)) for k in keywords)
+    any_of = lambda c: F.coalesce(normalize_name(c).rlike(words), F.lit(False)) if keywords else F.lit(False)
     hits = cards.where(any_of(F.col("embed_text"))).select("paper_id", F.lit(1).alias("k"))
     surface = F.concat_ws(" ", *(F.coalesce(c, F.lit("")) for c in ("title", "problem_description", "central_contribution")))
     also = catalog.where(any_of(surface)).select("paper_id", F.lit(0).alias("k"))

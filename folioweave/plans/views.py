@@ -15,6 +15,12 @@ def _changes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "graph_units").withColumn("id", ids.canonical(F.col("unit_id")))
 
 
+def first_loaded(rows: DataFrame, key: str) -> DataFrame:
+    """One row per key, the one loaded first; of several at one time the least by its columns in order."""
+    rest = [c for c in rows.columns if c not in (key, "loaded_at")]
+    return rows.groupBy(key).agg(F.min_by(F.struct(*rest), F.struct("loaded_at", *rest)).alias("r")).select(key, *(f"r.{c}" for c in rest))
+
+
 def units(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The units that exist after the last change; ``ord`` is (changed_at, id)."""
     last = F.max_by(F.struct("op", "changed_at", *UNIT_COLUMNS), F.struct("changed_at", (F.col("op") == "delete"))).alias("u")
@@ -31,8 +37,8 @@ def nodes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def edges(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Relations with canonical endpoints, each relation_no once; ``ord`` is relation_no."""
-    r = table(spark, sf_dir, "relations").select("relation_no", "paper_id", "source_id", "relation", "target_id", "provenance", "origin", "stance")
-    r = r.dropDuplicates(["relation_no"])
+    r = table(spark, sf_dir, "relations").select("relation_no", "paper_id", "source_id", "relation", "target_id", "provenance", "origin", "stance", "loaded_at")
+    r = first_loaded(r, "relation_no")
     return r.select(
         "paper_id", ids.canonical(F.col("source_id")).alias("source_id"), "relation", ids.canonical(F.col("target_id")).alias("target_id"),
         "provenance", "origin", "stance", F.col("relation_no").alias("ord"),
@@ -41,7 +47,9 @@ def edges(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Transcribed result rows, each row_no once, with canonical ids; ``ord`` is row_no."""
-    r = table(spark, sf_dir, "result_rows").where("source = 'transcribed'").dropDuplicates(["row_no"])
+    r = table(spark, sf_dir, "result_rows").where("source = 'transcribed'")
+    used = ("paper_id", "measure_id", "system_id", "setup_id", "variant", "value_raw", "metric", "unit", "table_marker")
+    r = first_loaded(r.select("row_no", *used, "loaded_at"), "row_no")
     c = lambda x: ids.canonical(F.col(x)).alias(x)
     return r.select(
         "paper_id", c("measure_id"), c("system_id"), c("setup_id"), "variant", F.col("value_raw").alias("value"), "metric", "unit",

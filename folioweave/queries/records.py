@@ -13,7 +13,7 @@ from folioweave.plans import assembly, sample
 from folioweave.plans import views as V
 from folioweave.queries.assembly import labels
 from folioweave.queries.problems import _JD, _JL, canon_sql
-from folioweave.session import table
+from folioweave.session import cut, table
 
 C = F.col
 
@@ -30,10 +30,15 @@ def captured(s, d):
     return tabs.groupBy("paper_id", "marker").agg(F.min_by("caption", "doc_id").alias("caption"))
 
 
-def assembled(s, d):
+def context(s, d):
+    """What the steps know beside the records; every table is read by several steps."""
     blocks = V.paper_blocks(s, d).select("paper_id", "marker").dropDuplicates()
     heads = table(s, d, "paper_catalog").groupBy("paper_id").agg(F.max("headline_result").alias("headline"))
-    return assembly.assemble(graph(s, d), assembly.Context(V.nodes(s, d), captured(s, d), blocks, labels(s, d), heads))
+    return assembly.Context(*(cut(t) for t in (V.nodes(s, d), captured(s, d), blocks, labels(s, d), heads)))
+
+
+def assembled(s, d):
+    return assembly.assemble(graph(s, d), context(s, d))
 
 
 def _joined(c):
@@ -76,20 +81,19 @@ def r33_edges(s, d):
     return assembled(s, d).graph.edges.select("paper_id", "source_id", "relation", "target_id", _joined("provenance").alias("markers"))
 
 
-def _verdicts(s, d):
-    """The faults before and after the assembly."""
-    nodes, tables = V.nodes(s, d), captured(s, d)
-    return validate.issues(graph(s, d), nodes, tables), validate.issues(assembled(s, d).graph, nodes, tables)
+def _sides(s, d):
+    """The graphs as received and as assembled, each with its faults."""
+    x, raw = context(s, d), graph(s, d).cut()
+    new = assembly.assemble(raw, x).graph
+    return [(g, cut(validate.issues(g, x.nodes, x.tables))) for g in (raw, new)]
 
 
 def x6(s, d):
     """Per paper the differences of units, edges and faults between the records as received and as assembled."""
-    raw, new = graph(s, d), assembled(s, d).graph
-    nodes, tables = V.nodes(s, d), captured(s, d)
-    sides = [{"units": g.units, "edges": g.edges, "issues": validate.issues(g, nodes, tables)} for g in (raw, new)]
+    (raw, before), (new, after) = _sides(s, d)
     out = None
-    for t in ("units", "edges", "issues"):
-        b, a = (side[t].groupBy("paper_id").agg(F.count(F.lit(1)).alias("n")) for side in sides)
+    for t, b, a in (("units", raw.units, new.units), ("edges", raw.edges, new.edges), ("issues", before, after)):
+        b, a = (x.groupBy("paper_id").agg(F.count(F.lit(1)).alias("n")) for x in (b, a))
         j = b.withColumnRenamed("n", "b").join(a.withColumnRenamed("n", "a"), "paper_id", "full")
         j = j.select("paper_id", (F.coalesce("a", F.lit(0)) - F.coalesce("b", F.lit(0))).alias(f"d_{t}"))
         out = j if out is None else out.join(j, "paper_id", "full")
@@ -98,8 +102,8 @@ def x6(s, d):
 
 def x9(s, d):
     """What the assembly made of every fault: fixed, still there, or new."""
-    before, after = (i.select("paper_id", "rule", "subject").dropDuplicates() for i in _verdicts(s, d))
     key = ["paper_id", "rule", "subject"]
+    before, after = (i.select(*key).dropDuplicates() for _, i in _sides(s, d))
     j = before.withColumn("b", F.lit(True)).join(after.withColumn("a", F.lit(True)), key, "full")
     return sample.outcome_tally(j.select(F.when(C("a").isNull(), "fixed").when(C("b").isNull(), "regression").otherwise("still").alias("outcome")))
 
