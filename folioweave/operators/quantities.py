@@ -119,20 +119,27 @@ def _alias_pattern(quantity: str) -> str:
     return "|".join(re.escape(n).replace(r"\ ", r"\s+") for n in names)
 
 
+#: A value that is a number and nothing else, by far the most frequent form.
+_PLAIN = r"^[0-9]+(?:\.[0-9]+)?\z"
+
+
 def number(text: Column) -> Column:
     """The first number of a text as a double: signs, thousands commas, E and x10^ notation."""
     plain = lambda g: F.regexp_replace(F.regexp_extract(text, NUMBER, g), "[−–]", "-")
     mantissa = F.regexp_replace(plain(1), ",", "")
     exponent = F.coalesce(F.nullif(plain(2), F.lit("")), F.nullif(plain(3), F.lit("")), F.lit("0"))
-    return F.concat(mantissa, F.lit("e"), exponent).try_cast("double")
+    return F.when(text.rlike(_PLAIN), text.try_cast("double")).otherwise(F.concat(mantissa, F.lit("e"), exponent).try_cast("double"))
 
 
 def _cleaned(words: Column) -> Column:
     """Unit words in lower case without decoration, to be looked up as an alias."""
-    x = F.regexp_replace(F.lower(words), r"[*†‡]+", " ")
+    bare = F.lower(words)
+    x = F.regexp_replace(bare, r"[*†‡]+", " ")
     x = F.regexp_replace(x, r"^\s*(?:unit\s*:)?[\s(\[-]*(?:(?:on|as|in)\s+(?:an?\s+)?)?", "")
     x = F.regexp_replace(x, r"\s*\(0\s*(?:\.\.|-)\s*1\)\s*$", "")
-    return F.regexp_replace(F.regexp_replace(x, r"[\s)\]]+$", ""), r"\s+", " ")
+    cleaned = F.regexp_replace(F.regexp_replace(x, r"[\s)\]]+$", ""), r"\s+", " ")
+    # A word of letters or a percent sign has nothing to be cleaned.
+    return F.when((bare == "") | bare.rlike(r"^(?:%|(?!in\z)[a-z]+)\z"), bare).otherwise(cleaned)
 
 
 def _caption_words(caption: Column, quantity: Column) -> Column:
@@ -175,14 +182,15 @@ def convert(
     text = lambda c: F.col(c) if c else F.lit(None).cast("string")
     norm = F.trim(F.regexp_replace(F.lower(F.coalesce(text(metric_norm), text(metric))), "[^a-z0-9]+", " "))
     names = _names(metric_refs)
-    name = F.regexp_extract(norm, r"(?<![a-z0-9])(" + "|".join(map(re.escape, names)) + r")(?![a-z0-9])", 1) if names else F.lit("")
+    within = F.regexp_extract(norm, r"(?<![a-z0-9])(" + "|".join(map(re.escape, names)) + r")(?![a-z0-9])", 1) if names else F.lit("")
+    name = F.when(norm.isin(names), norm).otherwise(within)
     base = rows.select(*key, text(value).alias("__value"), text(metric).alias("__metric"), text(caption).alias("__caption"), text(unit).alias("__unit"), name.alias("__name"))
     known = metric_refs.where("quantity is not null").select(F.col("metric_norm").alias("__name"), "quantity").dropDuplicates(["__name"])
     base = base.withColumn("value", number(F.col("__value"))).where("value is not null").join(F.broadcast(known), "__name")
     # The nearest statement first; the next is only read where those before it state nothing.
     words = {
-        "value": _cleaned(F.regexp_extract("__value", _AFTER, 6)),
-        "metric": _cleaned(F.regexp_extract("__metric", _METRIC_TAIL, 1)),
+        "value": _cleaned(F.when(F.col("__value").rlike(_PLAIN), "").otherwise(F.regexp_extract("__value", _AFTER, 6))),
+        "metric": _cleaned(F.when(F.col("__metric").rlike(r"[,(\[/]|\s[iI][nN]\s"), F.regexp_extract("__metric", _METRIC_TAIL, 1)).otherwise("")),
         "caption": _caption_words(F.col("__caption"), F.col("quantity")),
         "unit": _cleaned(F.col("__unit")),
     }
