@@ -219,4 +219,23 @@ best AS (SELECT rr.paper_id, source_id, unit_id AS target_id, arg_min(role, k) A
 SELECT b.paper_id, source_id, relation, target_id, 'reference' AS origin FROM best b JOIN u ON u.paper_id = b.paper_id AND u.id = b.target_id AND u.type IN ('Contribution', 'Component', 'ExperimentSetup')
 WHERE NOT EXISTS (SELECT 1 FROM e WHERE e.relation = 'part_of' AND e.paper_id = b.paper_id AND e.source_id = b.target_id) AND NOT (relation = 'compares_to' AND u.type = 'Contribution')
 AND NOT EXISTS (SELECT 1 FROM e WHERE e.relation IN {_in(ROLE_PRECEDENCE)} AND e.paper_id = b.paper_id AND e.source_id = b.source_id AND e.target_id = b.target_id)"""
+
+# --- questions, quantities of records -------------------------------------------------------------
+from folioweave.queries.problems import _QUANTITIES  # noqa: E402
+
+_ANSWERS = " UNION ALL ".join(
+    f"SELECT '{q['id']}' AS id, '{q['task']}' AS task, {n} AS n_hits, {n} >= {q.get('min_hits', q.get('min_pairs', 1))} AS answered FROM ({_corpus.ORACLE[of]})"
+    for q, of, n in zip(_corpus.QUESTIONS, ("q4_leaderboard", "q3_sweep", "q1_facet", "q1_has_code", "q2_lookup", "q6_cited", "q5_compare"), ("max(n_hits)", *["count(*)"] * 6))
+)
+_KEYS = ("record_key", "extraction_no", "section_no", "unit_no", "unit_id", "score_no")
+_OF_RECORDS = _QUANTITIES.replace(
+    "FROM result_rows", f"""FROM (SELECT struct_pack({", ".join(f"{k} := {k}" for k in _KEYS)}) AS row_no, value AS value_raw, name AS metric, CAST(NULL AS VARCHAR) AS metric_norm, CAST(NULL AS VARCHAR) AS table_caption, unit
+FROM ({ORACLE["p1_scores"]}) WHERE type = 'Measure' AND is_object)"""
+)
+ORACLE |= {
+    "q7_answers": _ANSWERS,
+    "q7_by_task": f"SELECT task, count(*) FILTER (WHERE answered) AS n_answered, count(*) AS n_questions FROM ({_ANSWERS}) GROUP BY ALL",
+    "p2_measures": f"""{_OF_RECORDS} SELECT {", ".join(f"row_no.{k} AS {k}" for k in _KEYS)}, s.quantity, s.value, s.unit_code, stated_by, common_unit, s.value * u.factor + u.shift AS common_value
+FROM s JOIN unit_refs u ON u.quantity = s.quantity AND u.unit_code = s.unit_code""",
+}
 del _PT, _S, F

@@ -16,10 +16,10 @@ C = F.col
 ROLES = ("builds_on", "uses", "compares_to", "background")
 QUESTIONS = [
     {"id": "q01", "task": "leaderboard", "dataset": "luxombovi", "metric": "acc", "direction": "max"},
-    {"id": "q02", "task": "sweep", "keywords": ["hand-writing", "robot grasping"]},
-    {"id": "q03", "task": "facet", "venue": "trail", "year_min": 2020, "year_max": 2024},
+    {"id": "q02", "task": "sweep", "keywords": ["robot grasping", "Code-Repair"]},
+    {"id": "q03", "task": "facet", "venue": "trail", "year_min": 2015, "year_max": 2024},
     {"id": "q04", "task": "facet", "has_code": True},
-    {"id": "q05", "task": "lookup", "paper_substr": "living survey"},
+    {"id": "q05", "task": "lookup", "paper_substr": "learning"},
     {"id": "q06", "task": "join", "entity_substr": "Graph Routing", "min_papers": 2},
     {"id": "q07", "task": "compare", "min_pairs": 3},
 ]
